@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,22 +18,35 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fit_broadcast(tables: dict[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
+    """``fits_broadcast`` for several tables in one job (one capped count each)."""
+    probes = [df.limit(max_rows + 1).groupBy().count().select(F.lit(name).alias("name"), "count")
+              for name, df in tables.items()]
+    counts = {r["name"]: r["count"] for r in reduce(DataFrame.unionByName, probes).collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in tables}
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if its row count is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           columns: dict[str, str], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           columns: dict[str, str], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+           broadcast: bool | None = None) -> DataFrame:
     """Left-outer lookup of ``dim`` columns (``{dim column: output name}``) by one key.
 
     The dimension side is projected to the key and the wanted columns before the
-    join, renamed so that the same dimension can play several roles.
+    join, renamed so that the same dimension can play several roles.  ``broadcast``
+    is the result of an earlier size check; None checks here.
     """
     key_alias = f"__lk_{fact_key}"
     side = dim.select(F.col(dim_key).alias(key_alias),
                       *[F.col(src).alias(dst) for src, dst in columns.items()])
-    side = checked_broadcast(side, max_broadcast_rows)
+    if broadcast is None:
+        broadcast = fits_broadcast(dim, max_broadcast_rows)
+    if broadcast:
+        side = F.broadcast(side)
     return (fact.join(side, fact[fact_key] == side[key_alias], "left")
                 .drop(key_alias))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
-from ..functions.joins import DEFAULT_BROADCAST_ROWS, lookup
+from ..functions.joins import DEFAULT_BROADCAST_ROWS, fit_broadcast, lookup
 from ..schemas import EVENT_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES
 from ..sources.tables import Sources
 from .movements import containers
@@ -46,14 +46,21 @@ def billing_events(sources: Sources, movements_n: DataFrame,
               .agg(F.min("date_end").alias("date_e"), F.sum("rub").alias("rub"), F.sum("cur").alias("cur"))
               .join(containers(movements_n), "container_no", "left_semi"))
     n = max_broadcast_rows
-    named = lookup(by_ids, sources.dict_counterparty, "client_id", "id", {"name": "client_name"}, n)
-    named = lookup(named, sources.dict_service, "service_id", "id", {"name": "service_name"}, n)
-    named = lookup(named, sources.dict_location, "from_point_id", "id", {"name": "points_from_name"}, n)
-    named = lookup(named, sources.dict_location, "to_point_id", "id", {"name": "points_to_name"}, n)
+    small = sources.dim_fits or fit_broadcast(
+        {"counterparty": sources.dict_counterparty, "service": sources.dict_service,
+         "location": sources.dict_location, "stations": sources.dict_stations}, n)
+    named = lookup(by_ids, sources.dict_counterparty, "client_id", "id", {"name": "client_name"},
+                   broadcast=small["counterparty"])
+    named = lookup(named, sources.dict_service, "service_id", "id", {"name": "service_name"},
+                   broadcast=small["service"])
+    named = lookup(named, sources.dict_location, "from_point_id", "id", {"name": "points_from_name"},
+                   broadcast=small["location"])
+    named = lookup(named, sources.dict_location, "to_point_id", "id", {"name": "points_to_name"},
+                   broadcast=small["location"])
     named = lookup(named, sources.dict_stations, "from_station_id", "station_code",
-                   {"station_name": "station_name_from"}, n)
+                   {"station_name": "station_name_from"}, broadcast=small["stations"])
     named = lookup(named, sources.dict_stations, "to_station_id", "station_code",
-                   {"station_name": "station_name_to"}, n)
+                   {"station_name": "station_name_to"}, broadcast=small["stations"])
     events = (named.groupBy("order_id", "container_no", *EVENT_NAME_COLUMNS)
               .agg(F.min("date_e").alias("date_e"),
                    F.sum("rub").cast("decimal(38,2)").alias("rub_sum"),

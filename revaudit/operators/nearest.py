@@ -8,12 +8,14 @@ picked at once, as one struct, so that all columns come from the same event.
 
 Methods (all return the same rows):
 
-* ``segmented`` (default): skew-proof prefix scan.  Events are first combined
-  per (container, date_e) -- map-side -- and the scan runs per (container, day)
-  segment; a carry-in from earlier / later days comes from a per-day summary
-  table (one row per container and day).  No window partition is larger than
-  one container-day of distinct timestamps, so a container holding a third of
-  all rows is still spread over many tasks.
+* ``segmented`` (default): skew-proof prefix scan.  A map-side combined count
+  finds hot containers (more than ``hot_rows`` events + keys).  Those are
+  scanned per (container, day) segment; what earlier / later days contribute
+  comes from a per-day summary table (one row per container-day, combined
+  map-side) and enters each day's scan as two sentinel rows.  Other containers
+  are one window partition each.  A container holding a third of all rows is
+  therefore spread over its days; no window partition exceeds ``hot_rows`` or
+  one container-day (events are unique per order and route, keys per time).
 * ``window``: one running max / min per container over the union of events and
   keys.  One shuffle, but a hot container is one window partition.
 * ``join``: the warehouse job's shape: join events to keys on container, then
@@ -27,9 +29,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_diff
+from ..functions.joins import checked_broadcast
 from ..schemas import AFTER_COLUMNS, BEFORE_COLUMNS, EVENT_NAME_COLUMNS, NEAREST_FIELDS
 from .movements import movement_keys
 
+# A container with more events + dispatch keys than this is scanned per day.
+DEFAULT_HOT_ROWS = 1_000_000
+
 _PAYLOAD = ("order_id", "container_no") + EVENT_NAME_COLUMNS + ("date_e", "rub_sum", "cur_sum")
 # Tie-break order after date_e and order_id (NULL names compare as '').
 _TIE_NAMES = ("service_name", "client_name", "points_from_name", "points_to_name",
@@ -62,51 +68,105 @@ def _unpack(df: DataFrame, before: str, after: str) -> DataFrame:
     return df.select(*cols)
 
 
-def _segmented(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    seg = F.unix_date(F.to_date(F.col("t")))
-    # 1. Best event per (container, timestamp): combined map-side, so repeated
-    #    timestamps of a hot container never reach one task uncombined.
-    at_t = (ev.groupBy("container_no", "t")
-              .agg(F.max("ev").alias("le"), F.min("ev").alias("ge"))
-              .withColumn("seg", seg))
-    key_rows = keys.select("container_no", F.col("dispatch_ts").alias("t")).withColumn("seg", seg)
-    # 2. Carry-in per (container, day) from strictly earlier / later days, over a
-    #    summary table with one row per container-day (events) plus key days.
-    summary = at_t.groupBy("container_no", "seg").agg(F.max("le").alias("seg_le"), F.min("ge").alias("seg_ge"))
-    key_segs = key_rows.select("container_no", "seg").distinct()
-    days = (summary.withColumn("is_key", F.lit(False))
-            .unionByName(key_segs.select("container_no", "seg",
-                                         F.lit(None).cast(summary.schema["seg_le"].dataType).alias("seg_le"),
-                                         F.lit(None).cast(summary.schema["seg_ge"].dataType).alias("seg_ge"),
-                                         F.lit(True).alias("is_key"))))
+# Above this many hot containers the set is joined instead of inlined as literals.
+MAX_HOT_LIST = 10_000
+
+
+def _hot_from_counts(counts: DataFrame, hot_rows: int):
+    hot = counts.groupBy("container_no").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_rows).select("container_no")
+    found = hot.limit(MAX_HOT_LIST + 1).collect()
+    if len(found) <= MAX_HOT_LIST:
+        return [r["container_no"] for r in found]
+    return hot
+
+
+def hot_containers(movements_n: DataFrame, ledger: DataFrame | None = None,
+                   hot_rows: int = DEFAULT_HOT_ROWS):
+    """Containers whose window partition could exceed ``hot_rows`` rows.
+
+    Counted from the base tables (movement rows + ledger lines of the event
+    codes: upper bounds of dispatch keys and billing events), with map-side
+    combining.  At most total_rows / hot_rows containers qualify.  Returns a
+    list when it has at most ``MAX_HOT_LIST`` entries, else a DataFrame.
+    """
+    from ..schemas import INVOICE_CODES
+    parts = movements_n.select("container_no", F.lit(1).cast("long").alias("n"))
+    if ledger is not None:
+        lines = (ledger.filter(F.col("esu_id").isin(*INVOICE_CODES))
+                 .select(F.upper("service_details_container_number").alias("container_no"),
+                         F.lit(1).cast("long").alias("n")))
+        parts = parts.unionByName(lines)
+    return _hot_from_counts(parts.filter(F.col("container_no").isNotNull()), hot_rows)
+
+
+def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int):
+    counts = (ev.select("container_no", F.lit(1).cast("long").alias("n"))
+              .unionByName(keys.select("container_no", F.lit(1).cast("long").alias("n"))))
+    return _hot_from_counts(counts, hot_rows)
+
+
+def _segment_of(t: Column, granularity: str) -> Column:
+    day = F.unix_date(F.to_date(t)).cast("long")
+    if granularity == "day":
+        return day
+    if granularity == "hour":
+        return day * 24 + F.hour(t)
+    raise ValueError("granularity must be 'day' or 'hour'")
+
+
+def _segmented(ev: DataFrame, keys: DataFrame, hot, granularity: str = "day") -> DataFrame:
+    if isinstance(hot, list) and not hot:
+        return _window(ev, keys)
+    t_type = ev.schema["t"].dataType
+    ev_type = ev.schema["ev"].dataType
+    none = F.lit(None).cast(ev_type)
+    rows = (ev.select("container_no", "t", F.col("ev").alias("le"), F.col("ev").alias("ge"),
+                      F.lit(0).alias("kind"))
+            .unionByName(keys.select("container_no", F.col("dispatch_ts").alias("t"), none.alias("le"),
+                                     none.alias("ge"), F.lit(1).alias("kind"))))
+    # 1. Flag the rows of hot containers: a literal set, or a join with the
+    #    (larger) set, which AQE broadcasts or shuffles by its real size.
+    if isinstance(hot, list):
+        rows = rows.withColumn("hot", F.col("container_no").isin(hot))
+    else:
+        rows = (rows.join(hot.select("container_no", F.lit(True).alias("hot")), "container_no", "left")
+                .withColumn("hot", F.coalesce(F.col("hot"), F.lit(False))))
+    rows = rows.withColumn("seg", F.when(F.col("hot"), _segment_of(F.col("t"), granularity))
+                           .otherwise(F.lit(0).cast("long")))
+    # 2. For hot containers: carry-in per (container, segment) from strictly
+    #    earlier / later segments, over a summary with one row per container-segment
+    #    (combined map-side), so that window is bounded by the number of segments.
+    hot_part = rows.filter(F.col("hot"))
+    summary = (hot_part.filter(F.col("kind") == 0).groupBy("container_no", "seg")
+               .agg(F.max("le").alias("seg_le"), F.min("ge").alias("seg_ge"), F.lit(False).alias("has_key")))
+    key_segs = (hot_part.filter(F.col("kind") == 1).select("container_no", "seg").distinct()
+                .select("container_no", "seg", none.alias("seg_le"), none.alias("seg_ge"), F.lit(True).alias("has_key")))
     earlier = Window.partitionBy("container_no").orderBy("seg").rangeBetween(Window.unboundedPreceding, -1)
-    later = (Window.partitionBy("container_no").orderBy(F.col("neg_seg"))
-             .rangeBetween(Window.unboundedPreceding, -1))
-    carries = (days.withColumn("neg_seg", -F.col("seg"))
-               .select("container_no", "seg", "is_key",
+    later = Window.partitionBy("container_no").orderBy("neg_seg").rangeBetween(Window.unboundedPreceding, -1)
+    carries = (summary.unionByName(key_segs).withColumn("neg_seg", -F.col("seg"))
+               .select("container_no", "seg", "has_key",
                        F.max("seg_le").over(earlier).alias("carry_le"),
                        F.min("seg_ge").over(later).alias("carry_ge"))
-               .filter("is_key").drop("is_key"))
-    # 3. Running max / min inside each container-day; equal timestamps are RANGE
+               .filter("has_key"))
+    # 3. The carries enter each segment's scan as two sentinel rows: one before
+    #    every timestamp (earlier segments' best), one after (later segments' best).
+    low = F.lit("0001-01-01 00:00:00").cast(t_type)
+    high = F.lit("9999-12-31 23:59:59").cast(t_type)
+    sentinels = F.explode(F.array(
+        F.struct(low.alias("t"), F.col("carry_le").alias("le"), none.alias("ge")),
+        F.struct(high.alias("t"), none.alias("le"), F.col("carry_ge").alias("ge"))))
+    carry_rows = (carries.select("container_no", "seg", sentinels.alias("c"))
+                  .select("container_no", "c.t", "c.le", "c.ge", F.lit(2).alias("kind"), "seg"))
+    # 4. Running max / min per (container, segment); equal timestamps are RANGE
     #    peers, so an event at the dispatch time counts on both sides.
-    rows = (at_t.withColumn("is_key", F.lit(False))
-            .unionByName(key_rows.select("container_no", "t", "seg",
-                                         F.lit(None).cast(at_t.schema["le"].dataType).alias("le"),
-                                         F.lit(None).cast(at_t.schema["ge"].dataType).alias("ge"),
-                                         F.lit(True).alias("is_key"))))
+    scan = rows.select("container_no", "t", "le", "ge", "kind", "seg").unionByName(carry_rows)
     up = (Window.partitionBy("container_no", "seg").orderBy("t")
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     down = (Window.partitionBy("container_no", "seg").orderBy(F.col("t").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (rows.select("container_no", "t", "seg", "is_key",
-                         F.max("le").over(up).alias("loc_le"),
-                         F.min("ge").over(down).alias("loc_ge"))
-             .filter("is_key"))
-    # 4. Combine the in-day result with the carry-in of the day.
-    both = local.join(carries, ["container_no", "seg"], "inner")
-    return both.select("container_no", F.col("t").alias("dispatch_ts"),
-                       F.greatest("loc_le", "carry_le").alias("b"),
-                       F.least("loc_ge", "carry_ge").alias("a"))
+    return (scan.select("container_no", F.col("t").alias("dispatch_ts"), "kind",
+                        F.max("le").over(up).alias("b"), F.min("ge").over(down).alias("a"))
+            .filter(F.col("kind") == 1))
 
 
 def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
@@ -132,25 +192,40 @@ def _join(ev: DataFrame, keys: DataFrame) -> DataFrame:
 _METHODS = {"segmented": _segmented, "window": _window, "join": _join}
 
 
-def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "segmented") -> DataFrame:
+def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
+                    hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None) -> DataFrame:
     """One row per movement key (container, dispatch_ts) with a billing event on
     at least one side: ``before_*`` and ``after_*`` columns (NULL where a side
-    has no event); ``*_date_diff`` = days from dispatch to the event."""
+    has no event); ``*_date_diff`` = days from dispatch to the event.
+
+    ``segmented``: containers with more than ``hot_rows`` events + keys are
+    scanned per ``granularity`` segment (day or hour) with carries between
+    segments; ``hot_rows=0`` segments every container.  ``hot`` may give the hot
+    containers (``hot_containers``, counted from the base tables); else they are
+    counted from the events and keys."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     ev = _clean_events(events)
     keys = movement_keys(movements_n)
-    picked = _METHODS[method](ev, keys).filter(F.col("b").isNotNull() | F.col("a").isNotNull())
+    if method == "segmented":
+        if hot is None:
+            hot = _hot_from_inputs(ev, keys, hot_rows)
+        picked = _segmented(ev, keys, hot, granularity)
+    else:
+        picked = _METHODS[method](ev, keys)
+    picked = picked.filter(F.col("b").isNotNull() | F.col("a").isNotNull())
     return _unpack(picked, "b", "a")
 
 
-def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "segmented") -> DataFrame:
+def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
+                   hot_rows: int = DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
     """Keys with an event at or before the dispatch: key + ``before_*`` columns."""
-    out = nearest_billing(events, movements_n, method)
+    out = nearest_billing(events, movements_n, method, hot_rows, hot=hot)
     return out.filter(F.col("before_date_e").isNotNull()).select("container_no", "dispatch_ts", *BEFORE_COLUMNS)
 
 
-def nearest_after(events: DataFrame, movements_n: DataFrame, method: str = "segmented") -> DataFrame:
+def nearest_after(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
+                  hot_rows: int = DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
     """Keys with an event at or after the dispatch: key + ``after_*`` columns."""
-    out = nearest_billing(events, movements_n, method)
+    out = nearest_billing(events, movements_n, method, hot_rows, hot=hot)
     return out.filter(F.col("after_date_e").isNotNull()).select("container_no", "dispatch_ts", *AFTER_COLUMNS)

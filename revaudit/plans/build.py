@@ -8,21 +8,23 @@ from ..operators.billing import billing_events
 from ..operators.enrich import enrich
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
-from ..operators.nearest import nearest_billing
+from ..operators.nearest import DEFAULT_HOT_ROWS, hot_containers, nearest_billing
 from ..sources.tables import Sources
 
 
 def build_enriched(sources: Sources, railway: str | None = None, nearest_method: str = "segmented",
                    invoice_method: str = "one_level", keep_blank_documents: bool = False,
-                   normalise_container: bool = False) -> DataFrame:
+                   normalise_container: bool = False, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every movement (optionally of one railway) with its invoice and nearest-billing blocks.
 
     One lazy plan; Catalyst prunes the columns each branch reads from the
     movement and ledger scans, and each branch reduces its input with a
-    map-side combined aggregation before it is shuffled.
+    map-side combined aggregation before it is shuffled.  The only action while
+    planning is the hot-container count over the two base tables.
     """
     movements_n = normalise_movements(sources.movements, railway, normalise_container)
     invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method)
     events = billing_events(sources, movements_n)
-    nearest = nearest_billing(events, movements_n, nearest_method)
+    hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else None
+    nearest = nearest_billing(events, movements_n, nearest_method, hot_rows, hot=hot)
     return enrich(movements_n, invoices, nearest)

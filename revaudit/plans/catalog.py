@@ -19,7 +19,8 @@ from ..operators.fingerprint import (compare_fingerprints, fingerprint, processe
                                      refresh_decision, source_fingerprint)
 from ..operators.invoices import invoice_match, ledger_by_document, with_document_fallback
 from ..operators.movements import normalise_movements, railway_list
-from ..operators.nearest import nearest_after, nearest_before, nearest_billing
+from ..operators.nearest import (DEFAULT_HOT_ROWS, hot_containers, nearest_after, nearest_before,
+                                 nearest_billing)
 from ..operators.numbering import number_rows
 from ..session import work_path
 from ..sources import testdata
@@ -107,13 +108,14 @@ def q_billing_events(spark, sf_dir):
     return decimals_to_double(billing_events(src, normalise_movements(src.movements)))
 
 
-def _nearest(method: str, side: str | None = None) -> Query:
+def _nearest(method: str, side: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> Query:
     def run(spark, sf_dir):
         src = _src(spark, sf_dir)
         mv = normalise_movements(src.movements)
         events = billing_events(src, mv)
+        hot = hot_containers(mv, src.ledger, hot_rows) if method == "segmented" else None
         fn = {None: nearest_billing, "before": nearest_before, "after": nearest_after}[side]
-        return decimals_to_double(fn(events, mv, method))
+        return decimals_to_double(fn(events, mv, method, hot_rows, hot=hot))
     return run
 
 
@@ -176,6 +178,8 @@ QUERIES: dict[str, Query] = {
     "billing_events": q_billing_events,
     "nearest_billing": _nearest("segmented"),
     "nearest_billing_window": _nearest("window"),
+    # Every container treated as hot: exercises the per-day skew path end to end.
+    "nearest_billing_skew_path": _nearest("segmented", hot_rows=0),
     "nearest_billing_join": _nearest("join"),
     "nearest_before": _nearest("segmented", "before"),
     "nearest_after": _nearest("segmented", "after"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +18,9 @@ class Sources:
     dict_service: DataFrame        # id, name
     dict_location: DataFrame       # id, name
     dict_stations: DataFrame       # station_code, station_name
+    # Result of the dimension size check (name -> may be broadcast), when known
+    # for this immutable snapshot of the inputs; None = check when used.
+    dim_fits: dict[str, bool] | None = field(default=None, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SOURCE_TABLES}
