@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows, ts
+from revaudit.operators.nearest import hot_containers, nearest_after, nearest_before, nearest_billing
+
+EVENT_SCHEMA = ("order_id bigint, container_no string, client_name string, points_from_name string, "
+                "points_to_name string, station_name_from string, station_name_to string, service_name string, "
+                "date_e timestamp_ntz, rub_sum decimal(38,2), cur_sum decimal(38,2)")
+KEY_SCHEMA = "container_no string, dispatch_ts timestamp_ntz, shipment_no string"
+
+METHODS = [("segmented", {}), ("segmented", {"hot_rows": 0}), ("segmented", {"hot_rows": 0, "granularity": "hour"}),
+           ("window", {}), ("join", {})]
+
+
+def ev(order, container, when, service="svc", client="cl", rub=1):
+    return (order, container, client, "pf", "pt", "sf", "st", service,
+            ts(when) if when else None, Decimal(rub), Decimal(0))
+
+
+def _run(spark, events, keys, method, kw):
+    e = spark.createDataFrame(events, EVENT_SCHEMA)
+    k = spark.createDataFrame(keys, KEY_SCHEMA)
+    return nearest_billing(e, k, method, **kw)
+
+
+def _tie_key(e):
+    return (e[8], e[0], e[7] or "", e[2] or "", e[3] or "", e[4] or "", e[5] or "", e[6] or "")
+
+
+def brute(events, keys):
+    """Per key: the greatest event at/before and the least at/after, in the tie order."""
+    out = {}
+    for c, t, _ in keys:
+        if c is None or t is None:
+            continue
+        mine = [e for e in events if e[1] == c and e[8] is not None]
+        before = [e for e in mine if e[8] <= t]
+        after = [e for e in mine if e[8] >= t]
+        b = max(before, key=_tie_key) if before else None
+        a = min(after, key=_tie_key) if after else None
+        if b or a:
+            out[(c, t)] = (b[0] if b else None, b[8] if b else None, a[0] if a else None, a[8] if a else None)
+    return sorted(out.items())
+
+
+def _as_dict(df):
+    return sorted(((r["container_no"], r["dispatch_ts"]),
+                   (r["before_order_id"], r["before_date_e"], r["after_order_id"], r["after_date_e"]))
+                  for r in df.collect())
+
+
+@pytest.mark.parametrize("method,kw", METHODS)
+def test_edge_cases(spark, method, kw):
+    events = [ev(1, "C1", "2020-01-10 00:00:00"),            # exactly at dispatch: both sides
+              ev(2, "C2", "2020-01-09 23:59:00"),            # before midnight: diff -1
+              ev(3, "C3", "2020-01-20 00:00:00"),            # only after
+              ev(4, "C4", None),                             # NULL date: never matched
+              ev(5, None, "2020-01-10 00:00:00"),            # NULL container: never matched
+              ev(6, "C5", "2020-01-01 00:00:00", service="a"),   # tie on date: order decides
+              ev(7, "C5", "2020-01-01 00:00:00", service="b"),
+              ev(8, "C5", "2020-02-01 00:00:00"), ev(9, "C5", "2020-02-01 00:00:00")]
+    keys = [("C1", ts("2020-01-10 00:00:00"), "x"), ("C2", ts("2020-01-10 00:01:00"), "x"),
+            ("C3", ts("2020-01-10 00:00:00"), "x"), ("C4", ts("2020-01-10 00:00:00"), "x"),
+            ("C5", ts("2020-01-15 00:00:00"), "x"), ("C5", ts("2020-01-15 00:00:00"), "y"),  # duplicate key
+            (None, ts("2020-01-10 00:00:00"), "x"), ("C1", None, "x")]
+    out = _run(spark, events, keys, method, kw)
+    got = {(r["container_no"], r["dispatch_ts"]): r for r in out.collect()}
+    assert set(got) == {("C1", ts("2020-01-10 00:00:00")), ("C2", ts("2020-01-10 00:01:00")),
+                        ("C3", ts("2020-01-10 00:00:00")), ("C5", ts("2020-01-15 00:00:00"))}
+    c1 = got[("C1", ts("2020-01-10 00:00:00"))]
+    assert c1["before_order_id"] == 1 and c1["after_order_id"] == 1
+    assert c1["before_date_diff"] == 0 and c1["after_date_diff"] == 0
+    c2 = got[("C2", ts("2020-01-10 00:01:00"))]
+    assert c2["before_date_diff"] == -1 and c2["after_order_id"] is None
+    c3 = got[("C3", ts("2020-01-10 00:00:00"))]
+    assert c3["before_order_id"] is None and c3["after_order_id"] == 3 and c3["after_date_diff"] == 10
+    c5 = got[("C5", ts("2020-01-15 00:00:00"))]
+    assert c5["before_order_id"] == 7      # higher key before (order 7 > 6)
+    assert c5["after_order_id"] == 8       # lower key after
+    assert c5["before_service_name"] == "b" and c5["before_rub_sum"] == 1
+
+
+@pytest.mark.parametrize("method,kw", METHODS)
+def test_random_against_brute_force(spark, method, kw):
+    rnd = random.Random(3)
+    base = dt.datetime(2020, 1, 1)
+    events = [ev(rnd.randint(1, 30), f"C{rnd.randint(1, 8)}",
+                 (base + dt.timedelta(days=rnd.randint(0, 20), hours=rnd.choice([0, 0, 5, 23]))).isoformat(sep=" "),
+                 service=rnd.choice(["a", "b", None]), client=rnd.choice(["x", None]))
+              for _ in range(120)]
+    # make (order, container, names) unique like grouped billing events
+    seen, uniq = set(), []
+    for e in events:
+        k = (e[0], e[1], e[2], e[7])
+        if k not in seen:
+            seen.add(k)
+            uniq.append(e)
+    keys = [(f"C{rnd.randint(1, 10)}", base + dt.timedelta(days=rnd.randint(-2, 22), hours=rnd.choice([0, 5, 12])),
+             "s") for _ in range(150)]
+    out = _run(spark, uniq, keys, method, kw)
+    assert _as_dict(out) == brute(uniq, keys)
+
+
+def test_before_after_projections(spark):
+    events = [ev(1, "C1", "2020-01-05 00:00:00"), ev(2, "C2", "2020-01-20 00:00:00")]
+    keys = [("C1", ts("2020-01-10 00:00:00"), "s"), ("C2", ts("2020-01-10 00:00:00"), "s")]
+    e = spark.createDataFrame(events, EVENT_SCHEMA)
+    k = spark.createDataFrame(keys, KEY_SCHEMA)
+    b = nearest_before(e, k)
+    a = nearest_after(e, k)
+    assert rows(b, "container_no", "before_order_id") == [("C1", 1)]
+    assert rows(a, "container_no", "after_order_id") == [("C2", 2)]
+    assert all(c.startswith("before_") for c in b.columns[2:])
+
+
+def test_hot_containers_bound(spark):
+    mv = spark.createDataFrame([("H",)] * 30 + [("A",), ("B",)], "container_no string")
+    assert hot_containers(mv, None, hot_rows=10) == ["H"]
+    assert hot_containers(mv, None, hot_rows=100) == []
+
+
+def test_hot_path_with_joined_hot_set(spark, monkeypatch):
+    """More hot containers than the literal-set limit: the set is joined."""
+    import revaudit.operators.nearest as nearest
+    monkeypatch.setattr(nearest, "MAX_HOT_LIST", 1)
+    events = [ev(i, f"C{i % 3}", f"2020-01-{1 + i:02d} 00:00:00") for i in range(12)]
+    keys = [(f"C{i % 4}", ts(f"2020-01-{2 + i:02d} 12:00:00"), "s") for i in range(12)]
+    out = _run(spark, events, keys, "segmented", {"hot_rows": 0})
+    assert _as_dict(out) == brute(events, keys)
+    assert out.filter(F.col("before_order_id").isNotNull()).count() > 0
