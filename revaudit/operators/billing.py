@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, fit_broadcast, lookup
+from ..functions.money import from_units, money_scale, to_units
 from ..schemas import EVENT_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES
 from ..sources.tables import Sources
 from .movements import containers
@@ -29,6 +30,9 @@ def billing_events(sources: Sources, movements_n: DataFrame,
     name.  Sums and minima compose, so this equals grouping the looked-up raw
     lines by names (including the effect of a repeated dimension key).
     """
+    rub_scale = money_scale(sources.ledger, "amount_in_rub_without_vat")
+    cur_scale = money_scale(sources.ledger, "amount_in_contract_currency_without_vat")
+    # Amounts are summed as long minor units (exact; see functions.money).
     lines = (sources.ledger
              .filter(F.col("esu_id").isin(*INVOICE_CODES))
              .select(F.col("service_details_order_id").alias("order_id"),
@@ -40,8 +44,8 @@ def billing_events(sources: Sources, movements_n: DataFrame,
                      F.col("service_details_points_from_station_id").alias("from_station_id"),
                      F.col("service_details_points_to_station_id").alias("to_station_id"),
                      "date_end",
-                     F.col("amount_in_rub_without_vat").alias("rub"),
-                     F.col("amount_in_contract_currency_without_vat").alias("cur")))
+                     to_units("amount_in_rub_without_vat", rub_scale).alias("rub"),
+                     to_units("amount_in_contract_currency_without_vat", cur_scale).alias("cur")))
     by_ids = (lines.groupBy(*_ID_KEYS)
               .agg(F.min("date_end").alias("date_e"), F.sum("rub").alias("rub"), F.sum("cur").alias("cur"))
               .join(containers(movements_n), "container_no", "left_semi"))
@@ -62,8 +66,8 @@ def billing_events(sources: Sources, movements_n: DataFrame,
     named = lookup(named, sources.dict_stations, "to_station_id", "station_code",
                    {"station_name": "station_name_to"}, broadcast=small["stations"])
     events = (named.groupBy("order_id", "container_no", *EVENT_NAME_COLUMNS)
-              .agg(F.min("date_e").alias("date_e"),
-                   F.sum("rub").cast("decimal(38,2)").alias("rub_sum"),
-                   F.sum("cur").cast("decimal(38,2)").alias("cur_sum"))
-              .filter(any_nonzero("rub_sum", "cur_sum")))
+              .agg(F.min("date_e").alias("date_e"), F.sum("rub").alias("rub_sum"), F.sum("cur").alias("cur_sum"))
+              .filter(any_nonzero("rub_sum", "cur_sum"))
+              .withColumn("rub_sum", from_units("rub_sum", rub_scale))
+              .withColumn("cur_sum", from_units("cur_sum", cur_scale)))
     return events.select(*EVENT_COLUMNS)

@@ -18,15 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
+from ..functions.money import from_units, money_scale, to_units
 from ..schemas import (DOCUMENT_CODE, INVOICE_AMOUNT_COLUMNS, INVOICE_CODES, INVOICE_FILTER_CODES,
                        cur_column, rub_column)
 from .movements import containers, shipment_keys
 
-MONEY_SUM = "decimal(38,2)"
+RUB = "amount_in_rub_without_vat"
+CUR = "amount_in_contract_currency_without_vat"
 
 
 def ledger_lines(ledger: DataFrame, codes: tuple[str, ...]) -> DataFrame:
-    """Ledger rows of the given service codes, with the container upper-cased."""
+    """Ledger rows of the given service codes, with the container upper-cased and
+    the amounts as long minor units (``rub``, ``cur``; see ``functions.money``)."""
     return (ledger
             .filter(F.col("esu_id").isin(*codes))
             .select(F.col("document_reasons_number").alias("document_no"),
@@ -34,18 +37,12 @@ def ledger_lines(ledger: DataFrame, codes: tuple[str, ...]) -> DataFrame:
                     upper_utf8("service_details_container_number").alias("container_no"),
                     "esu_id",
                     F.col("date_end"),
-                    F.col("amount_in_rub_without_vat").alias("rub"),
-                    F.col("amount_in_contract_currency_without_vat").alias("cur")))
+                    to_units(RUB, money_scale(ledger, RUB)).alias("rub"),
+                    to_units(CUR, money_scale(ledger, CUR)).alias("cur")))
 
 
-def ledger_by_document(ledger: DataFrame, movements_n: DataFrame,
-                       keep_blank_documents: bool = False) -> DataFrame:
-    """Ledger grouped by (document, order, container, service) for movement containers.
-
-    ``date_e`` is the earliest ``date_end``; groups whose two sums are both zero
-    (or NULL) are dropped.  The container filter is applied after the map-side
-    combined aggregation: it depends on a group key only, so the result is the same.
-    """
+def _ledger_groups(ledger: DataFrame, movements_n: DataFrame, keep_blank_documents: bool) -> DataFrame:
+    """Level one in minor units (``rub_sum``, ``cur_sum`` are longs)."""
     lines = ledger_lines(ledger, INVOICE_FILTER_CODES)
     if not keep_blank_documents:
         lines = lines.filter(F.col("document_no") != "")
@@ -57,6 +54,25 @@ def ledger_by_document(ledger: DataFrame, movements_n: DataFrame,
     return grouped.join(containers(movements_n), "container_no", "left_semi")
 
 
+def _as_money(df: DataFrame, ledger: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Turn the named minor-unit columns back into decimal amounts (in place)."""
+    for name, source in pairs:
+        df = df.withColumn(name, from_units(name, money_scale(ledger, source)))
+    return df
+
+
+def ledger_by_document(ledger: DataFrame, movements_n: DataFrame,
+                       keep_blank_documents: bool = False) -> DataFrame:
+    """Ledger grouped by (document, order, container, service) for movement containers.
+
+    ``date_e`` is the earliest ``date_end``; groups whose two sums are both zero
+    (or NULL) are dropped.  The container filter is applied after the map-side
+    combined aggregation: it depends on a group key only, so the result is the same.
+    """
+    grouped = _ledger_groups(ledger, movements_n, keep_blank_documents)
+    return _as_money(grouped, ledger, [("rub_sum", RUB), ("cur_sum", CUR)])
+
+
 def with_document_fallback(grouped: DataFrame) -> DataFrame:
     """Add ``document_no_processed``: a blank document number is replaced by the
     smallest non-blank document number of a ``0.02.01.01`` group of the same
@@ -79,15 +95,21 @@ def with_document_fallback(grouped: DataFrame) -> DataFrame:
                   .filter(F.col("document_no_processed") != ""))
 
 
-def _pivot_sums(df: DataFrame, rub: str, cur: str) -> list:
+def _pivot_sums(rub: str, cur: str) -> list:
+    """Eight conditional sums in minor units (0 where a code has no rows)."""
     aggs = []
     for code in INVOICE_CODES:
         hit = F.col("esu_id") == code
-        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(rub))), F.lit(0)).cast(MONEY_SUM).alias(rub_column(code)))
-        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(cur))), F.lit(0)).cast(MONEY_SUM).alias(cur_column(code)))
+        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(rub))), F.lit(0).cast("long")).alias(rub_column(code)))
+        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(cur))), F.lit(0).cast("long")).alias(cur_column(code)))
     return aggs
 
 
+def _pivot_as_money(df: DataFrame, ledger: DataFrame) -> DataFrame:
+    return _as_money(df, ledger, [(rub_column(c), RUB) for c in INVOICE_CODES] +
+                     [(cur_column(c), CUR) for c in INVOICE_CODES])
+
+
 def invoice_match(ledger: DataFrame, movements_n: DataFrame, keep_blank_documents: bool = False,
                   method: str = "one_level") -> DataFrame:
     """Per (document, container) billed sums for the four invoice codes.
@@ -102,23 +124,24 @@ def invoice_match(ledger: DataFrame, movements_n: DataFrame, keep_blank_document
     if method == "one_level":
         lines = ledger_lines(ledger, INVOICE_CODES).filter(F.col("document_no") != "")
         pivot = (lines.groupBy("document_no", "container_no")
-                 .agg(*_pivot_sums(lines, "rub", "cur"))
+                 .agg(*_pivot_sums("rub", "cur"))
                  .filter(any_nonzero(*INVOICE_AMOUNT_COLUMNS)))
         matched = pivot.join(pairs, (pivot.container_no == pairs.container_no)
                              & (pivot.document_no == pairs.shipment_no), "left_semi")
-        return matched.select(F.col("document_no").alias("invoice_document_no"),
-                              F.col("container_no").alias("invoice_container_no"),
-                              *INVOICE_AMOUNT_COLUMNS)
+        return _pivot_as_money(matched.select(F.col("document_no").alias("invoice_document_no"),
+                                              F.col("container_no").alias("invoice_container_no"),
+                                              *INVOICE_AMOUNT_COLUMNS), ledger)
     if method != "two_level":
         raise ValueError("method must be 'one_level' or 'two_level'")
-    grouped = ledger_by_document(ledger, movements_n, keep_blank_documents)
+    grouped = _ledger_groups(ledger, movements_n, keep_blank_documents)
     if keep_blank_documents:
         grouped = with_document_fallback(grouped)
     else:
         grouped = grouped.withColumn("document_no_processed", F.col("document_no"))
     matched = grouped.join(pairs, (grouped.container_no == pairs.container_no)
                            & (grouped.document_no_processed == pairs.shipment_no), "left_semi")
-    return (matched.groupBy(F.col("document_no_processed").alias("invoice_document_no"),
-                            F.col("container_no").alias("invoice_container_no"))
-            .agg(*_pivot_sums(matched, "rub_sum", "cur_sum"))
-            .filter(any_nonzero(*INVOICE_AMOUNT_COLUMNS)))
+    pivot = (matched.groupBy(F.col("document_no_processed").alias("invoice_document_no"),
+                             F.col("container_no").alias("invoice_container_no"))
+             .agg(*_pivot_sums("rub_sum", "cur_sum"))
+             .filter(any_nonzero(*INVOICE_AMOUNT_COLUMNS)))
+    return _pivot_as_money(pivot, ledger)
