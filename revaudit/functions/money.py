@@ -14,6 +14,8 @@ ANSI mode (Spark's default) an overflow is an error, never a wrong number.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,7 @@ def to_units(c: str | Column, scale: int = 2) -> Column:
 
 
 def from_units(c: str | Column, scale: int = 2, out_type: str = MONEY_SUM) -> Column:
-    """Long count of minor units -> decimal amount (exact)."""
+    """Long count of minor units -> decimal amount (exact: a long has at most 19
+    digits, and multiplying by 10**-scale only moves the decimal point)."""
     c = F.col(c) if isinstance(c, str) else c
-    return (c.cast("decimal(38,0)") / F.lit(10 ** scale)).cast(out_type)
+    return (c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(out_type)

@@ -9,22 +9,36 @@ from ..operators.enrich import enrich
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
 from ..operators.nearest import DEFAULT_HOT_ROWS, hot_containers, nearest_billing
+from ..operators.numbering import number_rows
 from ..sources.tables import Sources
 
 
+# Storage order of the published table: dispatch time first, then every other column.
+STORAGE_ORDER = ["dispatch_ts", "railway_from", "container_no", "shipment_no"]
+
+
 def build_enriched(sources: Sources, railway: str | None = None, nearest_method: str = "segmented",
                    invoice_method: str = "one_level", keep_blank_documents: bool = False,
-                   normalise_container: bool = False, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                   normalise_container: bool = False, hot_rows: int = DEFAULT_HOT_ROWS,
+                   number: bool = False) -> DataFrame:
     """Every movement (optionally of one railway) with its invoice and nearest-billing blocks.
 
     One lazy plan; Catalyst prunes the columns each branch reads from the
     movement and ledger scans, and each branch reduces its input with a
     map-side combined aggregation before it is shuffled.  The only action while
     planning is the hot-container count over the two base tables.
+
+    ``number=True`` prepends ``rownumber`` by ``STORAGE_ORDER`` and then all
+    columns.  The movements are numbered *before* the joins: every added column
+    is a function of (container, shipment, dispatch time), because both joined
+    sides are unique on their keys, so ordering by the movement columns orders
+    the enriched rows identically, and only the narrow movement rows go through
+    the range shuffle (its sampling pass reads the movement scan, not the joins).
     """
     movements_n = normalise_movements(sources.movements, railway, normalise_container)
     invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method)
     events = billing_events(sources, movements_n)
     hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else None
     nearest = nearest_billing(events, movements_n, nearest_method, hot_rows, hot=hot)
-    return enrich(movements_n, invoices, nearest)
+    left = number_rows(movements_n, order=STORAGE_ORDER) if number else movements_n
+    return enrich(left, invoices, nearest)

@@ -21,13 +21,12 @@ from ..operators.invoices import invoice_match, ledger_by_document, with_documen
 from ..operators.movements import normalise_movements, railway_list
 from ..operators.nearest import (DEFAULT_HOT_ROWS, hot_containers, nearest_after, nearest_before,
                                  nearest_billing)
-from ..operators.numbering import number_rows
 from ..session import work_path
 from ..sources import testdata
 from .build import build_enriched
 from .oracle import ONE_RAILWAY, STALE_CUTOFF
 from .publish import build_sliced, publish, status_record
-from .refresh import STORAGE_ORDER, TABLE_NAME
+from .refresh import TABLE_NAME
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,11 +147,11 @@ def q_sliced_build(spark, sf_dir):
 
 
 def q_numbered_movements(spark, sf_dir):
-    return decimals_to_double(number_rows(build_enriched(_src(spark, sf_dir)), order=STORAGE_ORDER))
+    return decimals_to_double(build_enriched(_src(spark, sf_dir), number=True))
 
 
 def q_published_snapshot(spark, sf_dir):
-    numbered = number_rows(build_enriched(_src(spark, sf_dir)), order=STORAGE_ORDER)
+    numbered = build_enriched(_src(spark, sf_dir), number=True).sortWithinPartitions("rownumber")
     path = publish(numbered, _run_folder(spark, "publish"), view_name="live")
     return decimals_to_double(spark.table("live"))
 
