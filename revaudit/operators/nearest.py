@@ -21,6 +21,10 @@ Methods (all return the same rows):
 * ``join``: the warehouse job's shape: join events to keys on container, then
   a conditional arg-max / arg-min per key.  Rows = events x dispatch dates per
   container; kept for equivalence tests.
+
+``nearest_billing`` returns one row per distinct key.  ``attach_nearest`` adds
+the two blocks to every row of a table (a left as-of join) without a join back:
+the rows ride through the scan as a struct, so the wide rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -29,17 +33,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_diff
-from ..functions.joins import checked_broadcast
-from ..schemas import AFTER_COLUMNS, BEFORE_COLUMNS, EVENT_NAME_COLUMNS, NEAREST_FIELDS
+from ..schemas import AFTER_COLUMNS, BEFORE_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES, NEAREST_FIELDS
 from .movements import movement_keys
 
 # A container with more events + dispatch keys than this is scanned per day.
 DEFAULT_HOT_ROWS = 1_000_000
+# Above this many hot containers the set is joined instead of inlined as literals.
+MAX_HOT_LIST = 10_000
 
 _PAYLOAD = ("order_id", "container_no") + EVENT_NAME_COLUMNS + ("date_e", "rub_sum", "cur_sum")
 # Tie-break order after date_e and order_id (NULL names compare as '').
 _TIE_NAMES = ("service_name", "client_name", "points_from_name", "points_to_name",
               "station_name_from", "station_name_to")
+_LOW = "0001-01-01 00:00:00"
+_HIGH = "9999-12-31 23:59:59"
 
 
 def event_struct() -> Column:
@@ -55,22 +62,20 @@ def _clean_events(events: DataFrame) -> DataFrame:
                   .select("container_no", F.col("date_e").alias("t"), event_struct().alias("ev")))
 
 
-def _unpack(df: DataFrame, before: str, after: str) -> DataFrame:
-    """(container_no, dispatch_ts, before struct, after struct) -> flat output columns."""
-    cols = [F.col("container_no"), F.col("dispatch_ts")]
+def _picks(dispatch: Column, before: str = "b", after: str = "a") -> list[Column]:
+    """The before_* / after_* output columns from the picked structs."""
+    cols = []
     for prefix, src in (("before", before), ("after", after)):
         for field in NEAREST_FIELDS:
             if field == "date_diff":
-                c = day_diff(F.col("dispatch_ts"), F.col(f"{src}.p.date_e"))
+                c = day_diff(dispatch, F.col(f"{src}.p.date_e"))
             else:
                 c = F.col(f"{src}.p.{field}")
             cols.append(c.alias(f"{prefix}_{field}"))
-    return df.select(*cols)
+    return cols
 
 
-# Above this many hot containers the set is joined instead of inlined as literals.
-MAX_HOT_LIST = 10_000
-
+# --- hot containers ---------------------------------------------------------
 
 def _hot_from_counts(counts: DataFrame, hot_rows: int):
     hot = counts.groupBy("container_no").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_rows).select("container_no")
@@ -89,7 +94,6 @@ def hot_containers(movements_n: DataFrame, ledger: DataFrame | None = None,
     combining.  At most total_rows / hot_rows containers qualify.  Returns a
     list when it has at most ``MAX_HOT_LIST`` entries, else a DataFrame.
     """
-    from ..schemas import INVOICE_CODES
     parts = movements_n.select("container_no", F.lit(1).cast("long").alias("n"))
     if ledger is not None:
         lines = (ledger.filter(F.col("esu_id").isin(*INVOICE_CODES))
@@ -105,6 +109,14 @@ def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int):
     return _hot_from_counts(counts, hot_rows)
 
 
+def _split(df: DataFrame, hot) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot containers, rows of the others)."""
+    if isinstance(hot, list):
+        flag = F.col("container_no").isin(hot)
+        return df.filter(flag), df.filter(~flag)
+    return df.join(hot, "container_no", "left_semi"), df.join(hot, "container_no", "left_anti")
+
+
 def _segment_of(t: Column, granularity: str) -> Column:
     day = F.unix_date(F.to_date(t)).cast("long")
     if granularity == "day":
@@ -114,19 +126,48 @@ def _segment_of(t: Column, granularity: str) -> Column:
     raise ValueError("granularity must be 'day' or 'hour'")
 
 
+# --- scans ------------------------------------------------------------------
+# Probes carry container_no, t and a payload column m (NULL when unused); the
+# scans return container_no, dispatch_ts, m, b (before struct), a (after struct).
+
+def _probes(keys: DataFrame) -> DataFrame:
+    if "m" not in keys.columns:
+        keys = keys.withColumn("m", F.lit(None).cast("int"))
+    return keys.select("container_no", F.col("dispatch_ts").alias("t"), "m")
+
+
+def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
+    p = _probes(keys)
+    none_ev = F.lit(None).cast(ev.schema["ev"].dataType)
+    rows = (ev.select("container_no", "t", "ev", F.lit(False).alias("is_key"),
+                      F.lit(None).cast(p.schema["m"].dataType).alias("m"))
+            .unionByName(p.select("container_no", "t", none_ev.alias("ev"), F.lit(True).alias("is_key"), "m")))
+    up = Window.partitionBy("container_no").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc())
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "is_key", "m",
+                        F.max("ev").over(up).alias("b"), F.min("ev").over(down).alias("a"))
+            .filter("is_key").drop("is_key"))
+
+
 def _segmented(ev: DataFrame, keys: DataFrame, hot, granularity: str = "day") -> DataFrame:
+    """``hot``: list / DataFrame of hot containers, or True when all are hot."""
     if isinstance(hot, list) and not hot:
         return _window(ev, keys)
+    p = _probes(keys)
     t_type = ev.schema["t"].dataType
     ev_type = ev.schema["ev"].dataType
+    no_m = F.lit(None).cast(p.schema["m"].dataType)
     none = F.lit(None).cast(ev_type)
     rows = (ev.select("container_no", "t", F.col("ev").alias("le"), F.col("ev").alias("ge"),
-                      F.lit(0).alias("kind"))
-            .unionByName(keys.select("container_no", F.col("dispatch_ts").alias("t"), none.alias("le"),
-                                     none.alias("ge"), F.lit(1).alias("kind"))))
-    # 1. Flag the rows of hot containers: a literal set, or a join with the
+                      F.lit(0).alias("kind"), no_m.alias("m"))
+            .unionByName(p.select("container_no", "t", none.alias("le"), none.alias("ge"),
+                                  F.lit(1).alias("kind"), "m")))
+    # 1. Flag the rows of hot containers: all, a literal set, or a join with the
     #    (larger) set, which AQE broadcasts or shuffles by its real size.
-    if isinstance(hot, list):
+    if hot is True:
+        rows = rows.withColumn("hot", F.lit(True))
+    elif isinstance(hot, list):
         rows = rows.withColumn("hot", F.col("container_no").isin(hot))
     else:
         rows = (rows.join(hot.select("container_no", F.lit(True).alias("hot")), "container_no", "left")
@@ -150,47 +191,46 @@ def _segmented(ev: DataFrame, keys: DataFrame, hot, granularity: str = "day") ->
                .filter("has_key"))
     # 3. The carries enter each segment's scan as two sentinel rows: one before
     #    every timestamp (earlier segments' best), one after (later segments' best).
-    low = F.lit("0001-01-01 00:00:00").cast(t_type)
-    high = F.lit("9999-12-31 23:59:59").cast(t_type)
     sentinels = F.explode(F.array(
-        F.struct(low.alias("t"), F.col("carry_le").alias("le"), none.alias("ge")),
-        F.struct(high.alias("t"), none.alias("le"), F.col("carry_ge").alias("ge"))))
+        F.struct(F.lit(_LOW).cast(t_type).alias("t"), F.col("carry_le").alias("le"), none.alias("ge")),
+        F.struct(F.lit(_HIGH).cast(t_type).alias("t"), none.alias("le"), F.col("carry_ge").alias("ge"))))
     carry_rows = (carries.select("container_no", "seg", sentinels.alias("c"))
-                  .select("container_no", "c.t", "c.le", "c.ge", F.lit(2).alias("kind"), "seg"))
+                  .select("container_no", "c.t", "c.le", "c.ge", F.lit(2).alias("kind"), no_m.alias("m"), "seg"))
     # 4. Running max / min per (container, segment); equal timestamps are RANGE
     #    peers, so an event at the dispatch time counts on both sides.
-    scan = rows.select("container_no", "t", "le", "ge", "kind", "seg").unionByName(carry_rows)
+    scan = rows.select("container_no", "t", "le", "ge", "kind", "m", "seg").unionByName(carry_rows)
     up = (Window.partitionBy("container_no", "seg").orderBy("t")
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     down = (Window.partitionBy("container_no", "seg").orderBy(F.col("t").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (scan.select("container_no", F.col("t").alias("dispatch_ts"), "kind",
+    return (scan.select("container_no", F.col("t").alias("dispatch_ts"), "kind", "m",
                         F.max("le").over(up).alias("b"), F.min("ge").over(down).alias("a"))
-            .filter(F.col("kind") == 1))
-
-
-def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    rows = (ev.select("container_no", "t", "ev", F.lit(False).alias("is_key"))
-            .unionByName(keys.select("container_no", F.col("dispatch_ts").alias("t"),
-                                     F.lit(None).cast(ev.schema["ev"].dataType).alias("ev"),
-                                     F.lit(True).alias("is_key"))))
-    up = Window.partitionBy("container_no").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc())
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "is_key",
-                        F.max("ev").over(up).alias("b"), F.min("ev").over(down).alias("a"))
-            .filter("is_key"))
+            .filter(F.col("kind") == 1).drop("kind"))
 
 
 def _join(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    pairs = ev.join(keys, "container_no")
+    pairs = ev.join(keys.select("container_no", "dispatch_ts"), "container_no")
     return (pairs.groupBy("container_no", "dispatch_ts")
             .agg(F.max(F.when(F.col("t") <= F.col("dispatch_ts"), F.col("ev"))).alias("b"),
                  F.min(F.when(F.col("t") >= F.col("dispatch_ts"), F.col("ev"))).alias("a")))
 
 
-_METHODS = {"segmented": _segmented, "window": _window, "join": _join}
+_METHODS = ("segmented", "window", "join")
+
+
+def _pick(ev: DataFrame, keys: DataFrame, method: str, hot_rows: int, granularity: str, hot) -> DataFrame:
+    if method not in _METHODS:
+        raise ValueError(f"method must be one of {sorted(_METHODS)}")
+    if method == "window":
+        return _window(ev, keys)
+    if method == "join":
+        return _join(ev, keys)
+    if hot is None:
+        hot = _hot_from_inputs(ev, keys, hot_rows)
+    return _segmented(ev, keys, hot, granularity)
+
 
+# --- public -------------------------------------------------------------------
 
 def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
                     hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None) -> DataFrame:
@@ -203,18 +243,54 @@ def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "se
     segments; ``hot_rows=0`` segments every container.  ``hot`` may give the hot
     containers (``hot_containers``, counted from the base tables); else they are
     counted from the events and keys."""
+    ev = _clean_events(events)
+    keys = movement_keys(movements_n)
+    picked = _pick(ev, keys, method, hot_rows, granularity, hot)
+    picked = picked.filter(F.col("b").isNotNull() | F.col("a").isNotNull())
+    return picked.select("container_no", "dispatch_ts", *_picks(F.col("dispatch_ts")))
+
+
+def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "segmented",
+                   hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None) -> DataFrame:
+    """Every row of ``rows`` (with ``container_no``, ``dispatch_ts``) plus the
+    ``before_*`` / ``after_*`` blocks: a left as-of join, with the same values as
+    ``nearest_billing`` joined back on the key.
+
+    Cold containers: the rows ride through the window scan as one struct, so
+    there is no join back.  Hot containers: the distinct keys go through the
+    segmented scan and are joined back (a hot key with many copies is then a
+    skewed join partition that AQE splits).  Rows with a NULL container or
+    dispatch time get NULL blocks without entering the scan.
+    """
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
+    cols = [F.col(f"`{c}`") for c in rows.columns]
+    blocks = list(BEFORE_COLUMNS + AFTER_COLUMNS)
     ev = _clean_events(events)
-    keys = movement_keys(movements_n)
-    if method == "segmented":
-        if hot is None:
-            hot = _hot_from_inputs(ev, keys, hot_rows)
-        picked = _segmented(ev, keys, hot, granularity)
+    valid_flag = F.col("container_no").isNotNull() & F.col("dispatch_ts").isNotNull()
+    valid, invalid = rows.filter(valid_flag), rows.filter(~valid_flag)
+
+    def joined_back(part: DataFrame, near: DataFrame) -> DataFrame:
+        return part.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *blocks)
+
+    if method == "join":
+        out = joined_back(valid, nearest_billing(events, valid, "join"))
     else:
-        picked = _METHODS[method](ev, keys)
-    picked = picked.filter(F.col("b").isNotNull() | F.col("a").isNotNull())
-    return _unpack(picked, "b", "a")
+        if method == "window":
+            hot = []
+        elif hot is None:
+            hot = _hot_from_inputs(ev, movement_keys(valid), hot_rows)
+        any_hot = not (isinstance(hot, list) and not hot)
+        hot_part, cold_part = _split(valid, hot) if any_hot else (None, valid)
+        hot_ev, cold_ev = _split(ev, hot) if any_hot else (None, ev)
+        probes = cold_part.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
+        out = _window(cold_ev, probes).select("m.*", *_picks(F.col("m.dispatch_ts")))
+        if any_hot:
+            near = (_segmented(hot_ev, movement_keys(hot_part), True, granularity)
+                    .select("container_no", "dispatch_ts", *_picks(F.col("dispatch_ts"))))
+            out = out.unionByName(joined_back(hot_part, near))
+    nulls = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in blocks]
+    return out.unionByName(invalid.select(*cols, *nulls))
 
 
 def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "segmented",

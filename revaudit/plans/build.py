@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.billing import billing_events
-from ..operators.enrich import enrich
+from ..operators.enrich import enrich, movements_with_invoices
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
-from ..operators.nearest import DEFAULT_HOT_ROWS, hot_containers, nearest_billing
+from ..operators.nearest import DEFAULT_HOT_ROWS, attach_nearest, hot_containers, nearest_billing
+from ..schemas import ENRICHED_COLUMNS
 from ..operators.numbering import number_rows
 from ..sources.tables import Sources
 
@@ -38,7 +39,12 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     movements_n = normalise_movements(sources.movements, railway, normalise_container)
     invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method)
     events = billing_events(sources, movements_n)
-    hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else None
-    nearest = nearest_billing(events, movements_n, nearest_method, hot_rows, hot=hot)
     left = number_rows(movements_n, order=STORAGE_ORDER) if number else movements_n
-    return enrich(left, invoices, nearest)
+    extra = [c for c in left.columns if c not in movements_n.columns]
+    if nearest_method == "join":
+        return enrich(left, invoices, nearest_billing(events, movements_n, "join"))
+    # The nearest blocks are attached to the (movement + invoice) rows in the
+    # scan itself: no second join of the wide rows.
+    hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else []
+    out = attach_nearest(events, movements_with_invoices(left, invoices), nearest_method, hot_rows, hot=hot)
+    return out.select(*extra, *ENRICHED_COLUMNS)

@@ -128,6 +128,11 @@ def q_enriched_movements(spark, sf_dir):
     return decimals_to_double(build_enriched(_src(spark, sf_dir)))
 
 
+def q_enriched_skew_path(spark, sf_dir):
+    # Every container treated as hot: the per-day scan plus join back, end to end.
+    return decimals_to_double(build_enriched(_src(spark, sf_dir), hot_rows=0))
+
+
 def q_enriched_with_defaults(spark, sf_dir):
     return decimals_to_double(enriched_with_defaults(build_enriched(_src(spark, sf_dir))))
 
@@ -184,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "nearest_after": _nearest("segmented", "after"),
     "movements_with_invoices": q_movements_with_invoices,
     "enriched_movements": q_enriched_movements,
+    "enriched_skew_path": q_enriched_skew_path,
     "enriched_with_defaults": q_enriched_with_defaults,
     "enriched_presentation": q_enriched_presentation,
     "sliced_build": q_sliced_build,

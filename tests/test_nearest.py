@@ -135,3 +135,32 @@ def test_hot_path_with_joined_hot_set(spark, monkeypatch):
     out = _run(spark, events, keys, "segmented", {"hot_rows": 0})
     assert _as_dict(out) == brute(events, keys)
     assert out.filter(F.col("before_order_id").isNotNull()).count() > 0
+
+
+ROW_SCHEMA = "container_no string, dispatch_ts timestamp_ntz, shipment_no string, payload string"
+
+
+@pytest.mark.parametrize("method,kw,max_list", [
+    ("window", {}, 10_000), ("segmented", {}, 10_000), ("segmented", {"hot_rows": 0}, 10_000),
+    ("segmented", {"hot_rows": 0}, 1), ("segmented", {"hot_rows": 12}, 10_000), ("join", {}, 10_000)])
+def test_attach_equals_key_results_joined_back(spark, monkeypatch, method, kw, max_list):
+    import revaudit.operators.nearest as nearest
+    monkeypatch.setattr(nearest, "MAX_HOT_LIST", max_list)
+    rnd = random.Random(9)
+    base = dt.datetime(2020, 1, 1)
+    events = [ev(i, f"C{rnd.randint(1, 6)}", (base + dt.timedelta(days=rnd.randint(0, 15))).isoformat(sep=" "),
+                 service=rnd.choice(["a", "b"])) for i in range(60)]
+    rows_ = []
+    for i in range(80):
+        c = rnd.choice([f"C{rnd.randint(1, 7)}", None]) if i % 9 == 0 else f"C{rnd.randint(1, 7)}"
+        t = None if i % 11 == 0 else base + dt.timedelta(days=rnd.randint(-1, 17))
+        rows_.append((c, t, f"S{i % 5}", f"p{i}"))
+    rows_ += rows_[:10]                                   # duplicate movement rows
+    e = spark.createDataFrame(events, EVENT_SCHEMA)
+    r = spark.createDataFrame(rows_, ROW_SCHEMA)
+    got = nearest.attach_nearest(e, r, method, **kw)
+    assert got.count() == len(rows_)                      # a left join: every row kept
+    want = r.join(nearest_billing(e, r, "join"), ["container_no", "dispatch_ts"], "left")
+    cols = ["payload", "container_no", "dispatch_ts", "before_order_id", "before_date_diff",
+            "after_order_id", "after_date_e", "before_rub_sum"]
+    assert rows(got, *cols) == rows(want, *cols)
