@@ -112,7 +112,7 @@ def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int):
 def _split(df: DataFrame, hot) -> tuple[DataFrame, DataFrame]:
     """(rows of hot containers, rows of the others)."""
     if isinstance(hot, list):
-        flag = F.col("container_no").isin(hot)
+        flag = F.coalesce(F.col("container_no").isin(hot), F.lit(False))
         return df.filter(flag), df.filter(~flag)
     return df.join(hot, "container_no", "left_semi"), df.join(hot, "container_no", "left_anti")
 
@@ -142,8 +142,11 @@ def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
     rows = (ev.select("container_no", "t", "ev", F.lit(False).alias("is_key"),
                       F.lit(None).cast(p.schema["m"].dataType).alias("m"))
             .unionByName(p.select("container_no", "t", none_ev.alias("ev"), F.lit(True).alias("is_key"), "m")))
-    up = Window.partitionBy("container_no").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc())
+    # NULL times sort first both ways: such a probe is a peer only of other NULL
+    # probes, so it picks no event on either side.
+    up = (Window.partitionBy("container_no").orderBy(F.col("t").asc_nulls_first())
+          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc_nulls_first())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "is_key", "m",
                         F.max("ev").over(up).alias("b"), F.min("ev").over(down).alias("a"))
@@ -251,37 +254,40 @@ def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "se
 
 
 def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "segmented",
-                   hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None) -> DataFrame:
+                   hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None,
+                   null_containers: bool = True) -> DataFrame:
     """Every row of ``rows`` (with ``container_no``, ``dispatch_ts``) plus the
     ``before_*`` / ``after_*`` blocks: a left as-of join, with the same values as
     ``nearest_billing`` joined back on the key.
 
     Cold containers: the rows ride through the window scan as one struct, so
-    there is no join back.  Hot containers: the distinct keys go through the
-    segmented scan and are joined back (a hot key with many copies is then a
-    skewed join partition that AQE splits).  Rows with a NULL container or
-    dispatch time get NULL blocks without entering the scan.
+    there is no join back; a row without a dispatch time picks nothing.  Hot
+    containers: the distinct keys go through the segmented scan and are joined
+    back (a hot key with many copies is then a skewed join partition that AQE
+    splits).  Rows without a container get NULL blocks without entering the scan
+    (they would all share one window partition); ``null_containers=False``
+    promises there are none and drops that branch from the plan.
     """
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     cols = [F.col(f"`{c}`") for c in rows.columns]
     blocks = list(BEFORE_COLUMNS + AFTER_COLUMNS)
     ev = _clean_events(events)
-    valid_flag = F.col("container_no").isNotNull() & F.col("dispatch_ts").isNotNull()
-    valid, invalid = rows.filter(valid_flag), rows.filter(~valid_flag)
+    has_container = F.col("container_no").isNotNull()
+    scanned = rows.filter(has_container) if null_containers else rows
 
     def joined_back(part: DataFrame, near: DataFrame) -> DataFrame:
         return part.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *blocks)
 
     if method == "join":
-        out = joined_back(valid, nearest_billing(events, valid, "join"))
+        out = joined_back(scanned, nearest_billing(events, scanned, "join"))
     else:
         if method == "window":
             hot = []
         elif hot is None:
-            hot = _hot_from_inputs(ev, movement_keys(valid), hot_rows)
+            hot = _hot_from_inputs(ev, movement_keys(scanned), hot_rows)
         any_hot = not (isinstance(hot, list) and not hot)
-        hot_part, cold_part = _split(valid, hot) if any_hot else (None, valid)
+        hot_part, cold_part = _split(scanned, hot) if any_hot else (None, scanned)
         hot_ev, cold_ev = _split(ev, hot) if any_hot else (None, ev)
         probes = cold_part.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
         out = _window(cold_ev, probes).select("m.*", *_picks(F.col("m.dispatch_ts")))
@@ -289,8 +295,10 @@ def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "segmented"
             near = (_segmented(hot_ev, movement_keys(hot_part), True, granularity)
                     .select("container_no", "dispatch_ts", *_picks(F.col("dispatch_ts"))))
             out = out.unionByName(joined_back(hot_part, near))
-    nulls = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in blocks]
-    return out.unionByName(invalid.select(*cols, *nulls))
+    if null_containers:
+        nulls = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in blocks]
+        out = out.unionByName(rows.filter(~has_container).select(*cols, *nulls))
+    return out
 
 
 def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "segmented",

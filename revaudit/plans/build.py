@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.billing import billing_events
 from ..operators.enrich import enrich, movements_with_invoices
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
 from ..operators.nearest import DEFAULT_HOT_ROWS, attach_nearest, hot_containers, nearest_billing
-from ..schemas import ENRICHED_COLUMNS
+from ..schemas import ENRICHED_COLUMNS, MOVEMENT_COLUMNS
 from ..operators.numbering import number_rows
 from ..sources.tables import Sources
 
@@ -46,5 +47,13 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     # The nearest blocks are attached to the (movement + invoice) rows in the
     # scan itself: no second join of the wide rows.
     hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else []
-    out = attach_nearest(events, movements_with_invoices(left, invoices), nearest_method, hot_rows, hot=hot)
-    return out.select(*extra, *ENRICHED_COLUMNS)
+    # A movement without a container matches no invoice and no event: it is set
+    # aside before the joins (a cheap filter), so NULL never becomes a join or
+    # window key.
+    has_container = F.col("container_no").isNotNull()
+    out = attach_nearest(events, movements_with_invoices(left.filter(has_container), invoices),
+                         nearest_method, hot_rows, hot=hot, null_containers=False)
+    blank = left.filter(~has_container).select(
+        *extra, *MOVEMENT_COLUMNS,
+        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ENRICHED_COLUMNS if c not in MOVEMENT_COLUMNS])
+    return out.select(*extra, *ENRICHED_COLUMNS).unionByName(blank)
