@@ -138,3 +138,14 @@ def test_duplicate_dimension_key_multiplies_sums(spark):
     src = make_sources(spark, mv, ledger, counterparty=[(1, "dup"), (1, "dup")])
     out = billing_events(src, normalise_movements(src.movements)).first()
     assert out["rub_sum"] == Decimal("20.00")   # as a plain left join before the sum does
+
+
+def test_assert_unique_and_checked_broadcast(spark):
+    import pytest as _pytest
+    from revaudit.functions.joins import assert_unique, fit_broadcast, fits_broadcast
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id bigint, name string")
+    with _pytest.raises(ValueError):
+        assert_unique(dim, "id")
+    assert_unique(dim.filter("id = 1"), "id")
+    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
+    assert fit_broadcast({"d": dim, "e": dim.limit(1)}, 2) == {"d": False, "e": True}
