@@ -142,14 +142,15 @@ def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
     rows = (ev.select("container_no", "t", "ev", F.lit(False).alias("is_key"),
                       F.lit(None).cast(p.schema["m"].dataType).alias("m"))
             .unionByName(p.select("container_no", "t", none_ev.alias("ev"), F.lit(True).alias("is_key"), "m")))
-    # NULL times sort first both ways: such a probe is a peer only of other NULL
-    # probes, so it picks no event on either side.
-    up = (Window.partitionBy("container_no").orderBy(F.col("t").asc_nulls_first())
-          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc_nulls_first())
+    up = Window.partitionBy("container_no").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    # A probe without a time sorts first ascending (it is a peer only of other such
+    # probes, so ``b`` is NULL) but last descending, where its frame would hold
+    # every event: its ``a`` is set to NULL explicitly.
     return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "is_key", "m",
-                        F.max("ev").over(up).alias("b"), F.min("ev").over(down).alias("a"))
+                        F.max("ev").over(up).alias("b"),
+                        F.when(F.col("t").isNotNull(), F.min("ev").over(down)).alias("a"))
             .filter("is_key").drop("is_key"))
 
 
