@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .tables import ship_package
 
 _WHERE = {
-    "op1_packed_rows": "packing", "op3_source_mix": "mixing", "op4_token_counts": "token_counts", "op5_quality": "quality",
-    "op6_url_filters": "urls", "op7_near_duplicates": "near_duplicates", "op9_decontamination": "decontamination",
+    "op1_packed_rows": "packing", "op2_repeated_substrings": "substrings", "op3_source_mix": "mixing",
+    "op4_token_counts": "token_counts", "op5_quality": "quality", "op6_url_filters": "urls",
+    "op7_near_duplicates": "near_duplicates", "op8_licences": "licences", "op9_decontamination": "decontamination",
+    "op10_nearest_vectors": "nearest_vectors",
 }
 
 
@@ -38,5 +40,5 @@ QUERIES["pipeline"] = _pipeline
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import urls
-    return {"op6_url_filters": urls.OP6_SQL}
+    from . import nearest_vectors, urls
+    return {"op6_url_filters": urls.OP6_SQL, "op10_nearest_vectors": nearest_vectors.OP10_SQL}

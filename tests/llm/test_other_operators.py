@@ -1,0 +1,270 @@
+"""Substring dedup, mixing, url filters, nearest vectors and the pipeline on small tables."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revaudit.llm import mixing, nearest_vectors, substrings, urls
+from revaudit.llm.suffix import common_prefixes, suffix_array
+from revaudit.llm.tables import ship_package
+from revaudit.llm.text import eight_bytes
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+# --- suffix arrays --------------------------------------------------------------
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(1)
+    for t in range(25):
+        n = int(rng.integers(1, 500))
+        raw = rng.integers(97, 97 + int(rng.integers(1, 4)), n).astype(np.uint8)
+        if t % 3 == 0 and n > 300:
+            raw[150:300] = raw[:150]
+        order, _ = suffix_array(eight_bytes(raw), 8, 128)
+        data = raw.tobytes()
+        heads = [data[i:i + 128] for i in order]
+        assert heads == sorted(heads)
+
+        def shared(x, y):
+            k = 0
+            while k < min(len(x), len(y)) and x[k] == y[k]:
+                k += 1
+            return k
+        expected = [0] + [min(128, shared(data[order[i - 1]:], data[order[i]:])) for i in range(1, n)]
+        assert common_prefixes(raw, order, 128).tolist() == expected
+
+
+# --- repeated substrings ----------------------------------------------------------
+
+def repeat_rows():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeé ") for _ in range(rng.randrange(2, 9)))
+    passages = [" ".join(word() for _ in range(60)) for _ in range(4)]
+    rows = []
+    for i in range(70):
+        parts = [" ".join(word() for _ in range(rng.randrange(0, 60)))]
+        if i % 3 == 0:
+            p = rng.choice(passages)
+            a = rng.randrange(0, 150)
+            parts.append(p[a:a + rng.randrange(90, 200)])
+        if i % 7 == 0:
+            parts.append("ab" * rng.randrange(40, 120))
+        rng.shuffle(parts)
+        rows.append((i * 2, "".join(parts)))
+    rows += [(1, rows[5][1]), (3, rows[5][1]), (5, None), (7, ""), (9, "x" * 99), (11, "x" * 100), (13, "x" * 101), (15, "y" * 350)]
+    return rows
+
+
+@pytest.mark.parametrize("shard_bytes,merge_bytes", [(1 << 20, 1 << 20), (2500, 700)])
+def test_repeats_equal_brute_force(spark, shard_bytes, merge_bytes):
+    rows = repeat_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substrings.without_repeats(docs, shard_bytes=shard_bytes, bucket_bytes=5000, merge_bytes=merge_bytes)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == substrings.brute_force(rows)
+
+
+def test_merge_in_many_runs(monkeypatch):
+    """Runs of a few bytes: every window meets the earlier ones by binary search."""
+    import pyarrow as pa
+    rows = repeat_rows()
+    table = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] or "" for r in rows], "doc": [r[0] for r in rows],
+                      "print": [hash(r[1]) % (1 << 62) for r in rows], "shard": [r[0] % 5 for r in rows]})
+    shards = [table.filter(pa.compute.equal(table.column("shard"), s)) for s in range(5)]
+    anchors = pa.concat_tables([substrings.shard_anchor_table(t, 1) for t in shards])
+    back = substrings.repeated_anchors(anchors)
+    pieces = pa.concat_tables([substrings.shard_pieces(t, back.filter(pa.compute.equal(back.column("shard"), s)), 1) for s, t in enumerate(shards)])
+    marks = substrings.merge_bucket(pieces, run_bytes=300)
+    got = {}
+    for s, t in enumerate(shards):
+        for r in substrings.cut_texts(t, marks.filter(pa.compute.equal(marks.column("shard"), s)), False).to_pylist():
+            got[r["doc_id"]] = (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+    assert got == substrings.brute_force(rows)
+
+
+def test_repeats_of_odd_rows(spark):
+    text = "".join(chr(97 + k * k % 23) for k in range(200))
+    docs = spark.createDataFrame([(None, text), (4, text), (4, text), (3, text), (9, None)], "doc_id long, text string")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_removed) for r in substrings.without_repeats(docs).collect())
+    assert got == [(-1, 0), (3, 200), (4, 200), (4, 200), (9, 0)]
+    kept = substrings.without_repeats(docs).where("doc_id IS NULL").first().kept
+    assert bytes(kept).decode() == text
+    assert substrings.without_repeats(docs.limit(0)).count() == 0
+
+
+# --- mixing -------------------------------------------------------------------
+
+def sainte_lague(targets, seats):
+    quota = dict.fromkeys(targets, 0)
+    for _ in range(seats):
+        best = min(targets, key=lambda s: (-targets[s] / (2 * quota[s] + 1), -targets[s], s))
+        quota[best] += 1
+    return quota
+
+
+def test_apportion_is_sainte_lague(spark):
+    rng = random.Random(1)
+    for n in (1, 2, 5, 9):
+        targets = {f"s{k}": float(rng.choice([1, 5, 40, 1000]) * rng.random() + 1) for k in range(n)}
+        frame = spark.createDataFrame(list(targets.items()), "source string, target double")
+        seats = [0, 1, 7, 50]
+        got = {(r.source, r.seats): r.quota for r in mixing.apportion(frame, seats).collect()}
+        for s in seats:
+            assert {k: got[k, s] for k in targets} == sainte_lague(targets, s)
+
+
+def test_targets_share_out(spark):
+    sizes = {"a": 10, "b": 1000, "c": 500, None: 300}
+    rows = [(s, n) for s, n in sizes.items()]
+    got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    weights, wanted = {"a": 5, "b": 2, "c": 1, None: 5}, 1.5 * 1810
+    capped = set()
+    while True:
+        factor = (wanted - sum(2 * sizes[s] for s in capped)) / sum(w for s, w in weights.items() if s not in capped)
+        more = {s for s in sizes if s not in capped and weights[s] * factor > 2 * sizes[s]}
+        if not more:
+            break
+        capped |= more
+    assert got == pytest.approx({s: 2.0 * sizes[s] if s in capped else weights[s] * factor for s in sizes})
+
+
+def mix_rows(rng, n=600):
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 300)), rng.choice(["a", "a", "a", "b", "c", "d", None]), "extra") for i in range(n)]
+    return rows + [(n, None, "a", "x"), (n + 1, "", None, "x"), (n + 2, "w w", "tiny", "x"), (5, rows[5][1], rows[5][2], "again")]
+
+
+def test_mix_hits_its_targets(spark):
+    rows = mix_rows(random.Random(2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string").repartition(5)
+    got = mixing.mix(docs).collect()
+    again = {(r.doc_id, r.size, r.source): r.taken for r in mixing.mix(docs.repartition(2)).collect()}
+    assert len(got) == len(rows) and all(again[r.doc_id, r.size, r.source] == r.taken for r in got)
+    per = {}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size and 0 <= r.copies <= 2
+        own = per.setdefault(r.source, [0, 0, r.target, r.source_size])
+        own[0] += r.taken
+        own[1] += r.size
+    for taken, size, target, source_size in per.values():
+        assert size == source_size and abs(taken - target) <= mixing.BLOCK_WORDS + 1
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert abs(sum(len((r.text or "").split()) for r in mixed.collect()) / sum(t for _, _, t, _ in per.values()) - 1) < 0.1
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_block_quotas_add_up(spark):
+    targets = spark.createDataFrame([("a", 700.0), ("b", 90.0), (None, 2000.0)], "source string, target double")
+    rows = mixing.block_quotas(targets, block_words=10, shards=4).collect()
+    assert all(r.quota >= 0 for r in rows) and sum(r.quota for r in rows) == 279
+    total = {}
+    for r in rows:
+        total[r.shard] = total.get(r.shard, 0) + r.quota
+    assert max(total.values()) - min(total.values()) <= 1
+
+
+# --- urls ---------------------------------------------------------------------
+
+URLS = ["http://www.Example.NET/en/1?x=/de/", "https://a.example.net/de/2#t", "http://example.net", "http://example.net/",
+        "https://m.example.com/de/x", "https://example.com/en/de/", "ftp://shop.org/fr/", "http://shop.org/frx", "http://org/fr/a",
+        "notaurl", None, "", "http://notexample.net/en/", "x://y://net/", "http://internet/", "http://a.net\n/de/", "http://de/example.com/de/"]
+
+
+def plain_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None, "allow"
+    import re
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S).groups()
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fits = [(h, p, a) for a, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    if not fits:
+        return host, path, None, "allow"
+    h, p, a = max(fits, key=lambda x: (len(x[0]), len(x[1])))
+    return host, path, h + p, a
+
+
+def test_urls_are_judged_by_the_longest_rule(spark):
+    rows = [(i, u, "old") for i, u in enumerate(URLS)] + [(3, URLS[3], "again")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, verdict string")
+    got = urls.filter_urls(pages).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == plain_rule(URLS[r.page_id]), URLS[r.page_id]
+    assert urls.filter_urls(pages.limit(0)).count() == 0
+    assert {r.verdict for r in urls.filter_urls(pages, []).collect()} == {"allow"}
+
+
+def test_cascade_is_exact(spark):
+    universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = spark.range(0, 6000, 7).select(F.concat(F.lit("k"), "id").alias("key"))
+    cascade = urls.Cascade(spark, listed, universe)
+    assert len(cascade.levels) > 1
+    got = {r.key for r in universe.where(cascade.contains(F.col("key"))).collect()}
+    assert got == {f"k{i}" for i in range(0, 5000, 7)}
+    assert universe.where(urls.Cascade(spark, listed.limit(0), universe).contains(F.col("key"))).count() == 0
+
+
+# --- nearest vectors ----------------------------------------------------------
+
+def test_nearest_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 24)).astype(np.float32)
+    x[50:120] = x[40]                      # one common vector
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(1000, None, 0), (1020, [0.0] * 24, 0), (1040, [float("nan")] * 24, 0), (1060, [1.0] * 23 + [None], 0), (1080, [float("inf")] + [1.0] * 23, 0), (None, [1.0] * 24, 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int").repartition(5)
+    got = {}
+    for r in nearest_vectors.nearest(frame, F.col("vec_id") % 20 == 0, group=64).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    wide = x.astype(np.float64)
+    for q in range(0, 400, 20):
+        score = np.zeros(400)
+        for k in range(24):
+            score += wide[q, k] * wide[:, k]
+        best = sorted((i for i in range(400) if i != q), key=lambda i: (-score[i], i))[:20]
+        assert got[q] == [(i, score[i]) for i in best]
+    assert set(got) == set(range(0, 400, 20))
+
+
+def test_nearest_of_few(spark):
+    frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest_vectors.nearest(frame, F.col("vec_id") == 0).collect()]
+    assert sorted(got) == [(0, 1, 1, 5.0), (0, 2, 2, 1.5)]
+    assert nearest_vectors.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+# --- pipeline -----------------------------------------------------------------
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    from revaudit.llm import decontamination, near_duplicates
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = {r.doc_id: r.text for r in docs.collect()}
+        out = stage(spark, docs, sf)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == columns
+            out.write.parquet(str(tmp_path / name))
+            out = spark.read.parquet(str(tmp_path / name))
+            assert 0 < out.count()
+        if name == "near_dedup":
+            plain = near_duplicates.brute_force(before)
+            assert {r.doc_id for r in out.collect()} == {d for d, (_, c) in plain.items() if c == d}
+        if name == "benchmark_decontamination":
+            items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+            found = decontamination.brute_force(list(before.values()), items)
+            assert {r.doc_id for r in out.collect()} == {d for d, (n, h, _, _) in zip(before, found) if not (h and h * 20 >= n)}
+        if name == "token_output":
+            assert {d for r in out.collect() for d in r.doc_ids} == {d for d, t in before.items() if t}
+        docs = out
+    assert corpus_pipeline.run(spark, sf).count() == docs.count()
