@@ -107,11 +107,6 @@ def search_tile(query: Tile, tile: Tile, heaps: list[list], k: int = K, step: in
                 heapq.heapreplace(heap, (s, -v))
 
 
-def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, "<f8").reshape(-1, size)
-
-
 def _tiles(rows: DataFrame, group: str) -> DataFrame:
     """Rows (id, size, vector, group) -> tiles: group, size, ids, matrix as little-endian binaries."""
     def task(batches):
@@ -151,7 +146,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP
     queries = rows.where("is_query").dropDuplicates(["id", "vector"])
     n_queries = queries.count()
     query_tiles = _tiles(queries.withColumn("tile", F.pmod(F.xxhash64("id", "vector"), F.lit(max(1, -(-n_queries // TILE))))), "tile")
-    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     sent = query_tiles.drop("g").withColumn("g", every).withColumn("kind", F.lit(1))
     columns = ["g", "size", "kind", "ids", "matrix"]
 

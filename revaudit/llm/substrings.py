@@ -29,6 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,7 +202,6 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
     repeat[first] = False
 
     s = table.column("shard")[0].as_py()
-    doc_of = np.searchsorted(shard.offs, window, side="right") - 1
     rows = []
     marked = np.zeros(len(shard.raw), bool)
     marked[window[repeat]] = True
@@ -214,7 +214,6 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
     fresh[window[~repeat]] = True
     lo, hi = _runs(fresh, anchor)
     # Runs of one anchor never join two documents: a document's last LENGTH - 1 places begin no window.
-    del doc_of
     d = np.searchsorted(shard.offs, lo, side="right") - 1
     bucket = _bucket(anchor[lo] >> np.uint64(1), merge_buckets)
     by = np.argsort(bucket, kind="stable")
@@ -279,10 +278,10 @@ class Windows:
 def merge_bucket(table: pa.Table, run_bytes: int = RUN_BYTES) -> pa.Table:
     """Step 3: marks of one bucket's pieces, and the shards' own marks passed on."""
     rows = []
-    own = table.filter(pa.compute.is_null(table.column("text")))
+    own = table.filter(pc.is_null(table.column("text")))
     for r in own.to_pylist():
         rows.append((r["shard"], r["doc"], r["sub"], r["start"], r["windows"]))
-    table = table.filter(pa.compute.is_valid(table.column("text")))
+    table = table.filter(pc.is_valid(table.column("text")))
     if table.num_rows:
         counts = np.array([len(x.as_py()) // 8 for x in table.column("anchor")])
         shard = np.repeat(table.column("shard").to_numpy(), counts)
@@ -380,7 +379,7 @@ def without_repeats(docs: DataFrame, with_text: bool = True, shard_bytes: int =
     pieces = source.groupBy("shard").cogroup(repeated.groupBy("shard")).applyInArrow(
         lambda t, r: shard_pieces(t, r, merge_buckets) if t.num_rows else _packed([], PIECES, _PIECE_KINDS),
         "bucket long, shard long, anchor binary, doc binary, sub binary, start binary, windows binary, size binary, text binary")
-    marks = pieces.groupBy("bucket").applyInArrow(merge_bucket, "shard long, doc binary, sub binary, begin binary, end binary")
+    marks = pieces.groupBy("bucket").applyInArrow(lambda t: merge_bucket(t), "shard long, doc binary, sub binary, begin binary, end binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     return source.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(
         lambda t, m: cut_texts(t, m, with_text), schema)
