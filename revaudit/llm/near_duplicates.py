@@ -14,9 +14,12 @@ deviations below 0.75).  Links are confirmed on the full shingle sets of the who
 Copies and groups.  Documents with one shingle set are a class, found by its 128-bit fingerprint and
 represented by its smallest doc_id.  In a bucket, every class is first compared with
 the bucket's smallest one; the confirmed links give components.  Then only buckets that still hold
-several components are compared further: pairs of different components, tile against tile, so
-a bucket of any size is split over tasks.  No pair inside a component is ever made, none between
-components is left out, and neither buckets nor partners have a cap.
+several components are compared further, and only between components.  Those of at most ``CROWD`` classes give
+pairs.  Larger ones are joined into families (classes connected by such buckets); a family's texts are
+compared with each other tile against tile, inside the tasks, on full sets, and only links that join two
+components come out.  So neither buckets nor partners have a cap, no group is gathered in one task, and pairs inside a
+component or a crowd are never made; what remains quadratic is the comparing, in a family of
+texts that are alike but not linked.
 
 Nulls: null and empty texts have no shingles and link with nothing.  A null doc_id links with nothing (component
 null, kept).  Rows with equal doc_ids are one node: links of any of them count.  Identical rows are one class.
@@ -40,7 +43,8 @@ ROWS = 4
 BANDS = COORDINATES // ROWS
 LEAST_EQUAL = 70
 PERCENT = 75
-TILE = 2048
+CROWD = 256
+TILE_BYTES = 4 << 20
 
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, bands array<long>"
 
@@ -174,80 +178,97 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .sortWithinPartitions("a").mapInArrow(task, "a long, b long"))
 
 
-def cross_pairs(members: DataFrame, tile: int = TILE) -> DataFrame:
-    """Pairs (a, b) of one bucket that lie in different components and agree in LEAST_EQUAL bins.
+def cross_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one bucket that lie in different components and not in one family, and agree in LEAST_EQUAL bins.
 
-    ``members``: key, id, component, sketch.  A bucket's rows are dealt into tiles of about ``tile`` rows and
-    a task compares one tile with one other, or with itself.  A tile without rows of a second
-    component on either side has nothing to compare: buckets with one component are left out before.
+    ``members``: key, id, component, family, sketch; buckets of at most CROWD classes.
     """
-    sized = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
-    dealt = members.join(sized, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(
-        F.least("t", o).alias("i"), F.greatest("t", o).alias("j"))))
-    rows = dealt.withColumn("p", pair).select("key", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "t", "id", "component", "sketch")
-
-    def flush(held, out):
-        table = pa.Table.from_batches(held)
-        side = table.column("t").to_numpy()
+    def pairs_of(table: pa.Table):
         ids, comp, bins = table.column("id").to_numpy(), table.column("component").to_numpy(), _bins(table.column("sketch"))
-        i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
+        family = table.column("family").to_numpy()
         key = table.column("key").to_numpy()
-        by = np.lexsort((j, i, key))
-        edge = np.flatnonzero((np.diff(key[by]) != 0) | (np.diff(i[by]) != 0) | (np.diff(j[by]) != 0)) + 1
-        for group in np.split(by, edge):
-            own = i[group[0]] == j[group[0]]
-            left = group if own else group[side[group] == i[group[0]]]
-            right = group if own else group[side[group] == j[group[0]]]
-            if len(left) == 0 or len(right) == 0 or (len(set(comp[group].tolist())) < 2):
-                continue
-            for r in range(0, len(left), 64):
-                some = left[r:r + 64]
-                near = (comp[some][:, None] != comp[right][None, :])
-                if own:
-                    near &= ids[some][:, None] < ids[right][None, :]
-                x, y = np.nonzero(near)
-                for k in range(0, len(x), 1 << 16):
-                    xs, ys = some[x[k:k + (1 << 16)]], right[y[k:k + (1 << 16)]]
-                    ok = _equal_bins(bins[xs], bins[ys]) >= LEAST_EQUAL
-                    out.append((np.minimum(ids[xs[ok]], ids[ys[ok]]), np.maximum(ids[xs[ok]], ids[ys[ok]])))
+        by = np.argsort(key, kind="stable")
+        for group in np.split(by, np.flatnonzero(np.diff(key[by])) + 1):
+            x, y = np.triu_indices(len(group), 1)
+            x, y = group[x], group[y]
+            apart = (comp[x] != comp[y]) & ((family[x] != family[y]) | (family[x] < 0)) & (ids[x] != ids[y])
+            x, y = x[apart], y[apart]
+            near = _equal_bins(bins[x], bins[y]) >= LEAST_EQUAL
+            yield np.stack([np.minimum(ids[x[near]], ids[y[near]]), np.maximum(ids[x[near]], ids[y[near]])])
+
+    def emit(held):
+        found = np.concatenate(list(pairs_of(pa.Table.from_batches(held).combine_chunks())), axis=1)
+        a, b = np.unique(found, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def task(batches):
-        # Rows arrive sorted; a group that a batch cuts is held until its end.
+        # Rows arrive sorted by key; a bucket that a batch cuts is held until its end.
         held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
             held.append(batch)
             size += batch.num_rows
-            if size < 4 * tile:
+            if size < 8192:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
-            key, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-            same = (key == key[-1]) & (i == i[-1]) & (j == j[-1])
-            cut = len(key) - int(same.sum())
+            key = table.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
             if cut:
-                yield from emit(table.slice(0, cut).to_batches())
-                held = table.slice(cut).to_batches()
-                size = len(key) - cut
-        if held:
-            yield from emit(held)
-
-    def emit(held):
-        out: list = []
-        flush(held, out)
-        if out:
-            a, b = (np.concatenate(x) for x in zip(*out))
-            if len(a):
-                a, b = np.unique(np.stack([a, b]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield emit(table.slice(0, cut).to_batches())
+                held, size = table.slice(cut).to_batches(), size - cut
+        if size:
+            yield emit(held)
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return placed.select("key", "i", "j", "t", "id", "component", "sketch").mapInArrow(task, "a long, b long").distinct()
+    placed = members.select("key", "id", "component", "family", "sketch").repartition(n, "key").sortWithinPartitions("key")
+    return placed.mapInArrow(task, "a long, b long").distinct()
+
 
+def family_links(texts: DataFrame, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """Links (a, b) between different components of one family, at most one for each class and task.
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+    ``texts``: family, id, component, text.  A family is dealt into tiles of about ``tile_bytes``; a task holds
+    two tiles (or one) and counts the shingles that its texts share by an inverted list.
+    """
+    size = texts.groupBy("family").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.octet_length("text")) / tile_bytes)).cast("int").alias("tiles"))
+    dealt = texts.join(size, "family").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(
+        F.least("t", o).alias("i"), F.greatest("t", o).alias("j"))))
+    rows = dealt.withColumn("p", meets).select("family", "p.i", "p.j", "t", "id", "component", "text")
+
+    def links(table: pa.Table) -> pa.Table:
+        ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
+        side, i, j = table.column("t").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        value, at = shingle_sets(table.column("text"))
+        n = np.diff(at)
+        owner = np.repeat(np.arange(len(ids)), n)
+        right = side[owner] == j
+        by = np.argsort(value[right])
+        list_value, list_owner = value[right][by], owner[right][by]
+        _, label = np.unique(comp, return_inverse=True)
+        parent = list(range(int(label.max(initial=-1)) + 1))
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+        found = []
+        for x in np.flatnonzero(side == i).tolist():
+            own = value[at[x]:at[x + 1]]
+            low, high = np.searchsorted(list_value, own), np.searchsorted(list_value, own, side="right")
+            who, nth = tx.ragged(high - low)
+            shared = np.bincount(list_owner[low[who] + nth], minlength=len(ids))
+            near = (shared > 0) & (100 * shared >= PERCENT * (n[x] + n - shared)) & (label != label[x])
+            for y in np.flatnonzero(near).tolist():
+                p, q = root(label[x]), root(label[y])
+                if p != q:
+                    parent[p] = q
+                    found.append((ids[x], ids[y]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return rows.groupBy("family", "i", "j").applyInArrow(links, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, crowd: int = CROWD, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     rows = stored(sketch_table(docs), "sketches")
     linkable = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -262,25 +283,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     star_pairs = stored(near_in_sketch(stars, sketch), "star-pairs")
-    texts = stored(docs.select(F.col("doc_id").alias("id"), "text").join(sketch.select("id"), "id", "left_semi"), "candidate-texts")
+    # One way to meet at every size: both sides by id, however short the list is.
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(sketch.select("id").distinct().hint("merge"), "id", "left_semi")
+    texts = stored(texts, "candidate-texts")
     links = stored(confirmed(star_pairs, texts), "star-links")
     first = components(links)
 
     grouped = members.select("key", "id").join(first.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
-    mixed = grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rest = grouped.join(mixed, "key", "left_semi").join(sketch, "id")
-    tested = star_pairs.select("a", "b")
-    pairs = cross_pairs(rest).join(tested, ["a", "b"], "left_anti")
+    mixed = (grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("least"),
+                                        F.count(F.lit(1)).alias("n")).where("lo <> hi").select("key", "least", "n"))
+    rest = stored(grouped.join(mixed, "key"), "mixed-buckets")
+    crowded = F.col("n") > crowd
+    families = components(rest.where(crowded).select(F.col("least").alias("a"), F.col("id").alias("b")))
+    families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
+    pairs = rest.where(~crowded).join(sketch, "id").join(families, "id", "left").withColumn("family", F.coalesce("family", F.lit(-1).cast("long")))
+    pairs = cross_pairs(pairs).join(star_pairs, ["a", "b"], "left_anti")
+    inside = rest.select("id", "component").distinct().join(families, "id").join(texts, "id")
+    more = stored(confirmed(pairs, texts).unionAll(family_links(inside, tile_bytes)), "cross-links")
     # Rows that share a doc_id may lie in several classes.
     alias = linkable.join(classes, ["f1", "f2"]).where("doc_id <> id")
     several = linkable.select("doc_id", "f1", "f2").distinct().groupBy("doc_id").count().where("count > 1")
     alias = alias.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    second = components(links.unionAll(stored(confirmed(pairs, texts), "cross-links")).unionAll(alias))
+    second = components(links.unionAll(more).unionAll(alias))
 
     whole = (rows.join(classes, ["f1", "f2"], "left").withColumn("id", F.when(F.col("n_shingles") > 0, F.col("id")))
              .join(second.withColumnRenamed("node", "id"), "id", "left"))
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id", "doc_id")).otherwise(F.col("doc_id"))
+    links_with_others = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(links_with_others, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
     return (whole.select("doc_id", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
@@ -288,7 +318,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with their columns."""
     gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

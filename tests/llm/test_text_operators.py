@@ -175,9 +175,12 @@ def near_rows():
     return rows
 
 
-def test_near_duplicates_equal_brute_force(frame):
+@pytest.mark.parametrize("crowd,tile_bytes", [(near_duplicates.CROWD, near_duplicates.TILE_BYTES), (2, 3000)])
+def test_near_duplicates_equal_brute_force(frame, crowd, tile_bytes):
+    """Also with every bucket of three classes as a crowd, in many small tiles."""
     rows = near_rows()
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(frame(list(rows.items()))).collect()}
+    found = near_duplicates.near_duplicates(frame(list(rows.items())), crowd, tile_bytes)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
     assert got == near_duplicates.brute_force(rows)
     groups = {}
     for doc, (_, c) in got.items():
