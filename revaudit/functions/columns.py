@@ -46,9 +46,9 @@ def any_nonzero(*cols: str | Column) -> Column:
     return reduce(or_, [col(c) != 0 for c in cols])
 
 
-def sorted_distinct_text(c: str | Column, separator: str = NAME_SEPARATOR) -> Column:
-    """Aggregate: distinct non-NULL values, byte-order sorted, joined by ``separator``."""
-    return F.array_join(F.array_sort(F.collect_set(col(c))), separator)
+def sorted_text(c: str | Column, separator: str = NAME_SEPARATOR) -> Column:
+    """Aggregate over distinct values: the non-NULL ones, byte-order sorted, joined by ``separator``."""
+    return F.array_join(F.array_sort(F.collect_list(col(c))), separator)
 
 
 def split_names(c: str | Column, separator: str = NAME_SEPARATOR) -> Column:

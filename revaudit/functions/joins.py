@@ -4,35 +4,35 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension is broadcast only if it has at most this many rows (checked with a
-# LIMIT query that stops early).  Beyond it the lookup is a shuffle join, which
-# AQE may still turn into a broadcast from the real shuffle size.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A dimension is broadcast only if its rows hold at most this many bytes (measured,
+# not estimated).  Beyond it the lookup is a shuffle join, which AQE may still turn
+# into a broadcast from the real shuffle size.
+DEFAULT_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 32  # of one row's own overhead and fixed-width columns' upper bound, each
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Scans at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    parts = [F.lit(_ROW_BYTES)]
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        text = isinstance(field.dataType, (T.StringType, T.BinaryType))
+        parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8 if text else F.lit(_ROW_BYTES))
+    return reduce(lambda a, b: a + b, parts).cast("long")
 
 
-def fit_broadcast(tables: dict[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
-    """``fits_broadcast`` for several tables in one job (one capped count each)."""
-    probes = [df.limit(max_rows + 1).groupBy().count().select(F.lit(name).alias("name"), "count")
-              for name, df in tables.items()]
-    counts = {r["name"]: r["count"] for r in reduce(DataFrame.unionByName, probes).collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in tables}
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if its row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def measured_bytes(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Bytes of each table's rows, in one job: a partial sum per task, one long each."""
+    sums = [df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+            for name, df in tables.items()]
+    return {r["name"]: r["bytes"] for r in reduce(DataFrame.unionByName, sums).collect()}
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           columns: dict[str, str], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+           columns: dict[str, str], max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
            broadcast: bool | None = None) -> DataFrame:
     """Left-outer lookup of ``dim`` columns (``{dim column: output name}``) by one key.
 
@@ -44,7 +44,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     side = dim.select(F.col(dim_key).alias(key_alias),
                       *[F.col(src).alias(dst) for src, dst in columns.items()])
     if broadcast is None:
-        broadcast = fits_broadcast(dim, max_broadcast_rows)
+        broadcast = measured_bytes({"dim": side})["dim"] <= max_broadcast_bytes
     if broadcast:
         side = F.broadcast(side)
     return (fact.join(side, fact[fact_key] == side[key_alias], "left")

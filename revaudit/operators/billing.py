@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
-from ..functions.joins import DEFAULT_BROADCAST_ROWS, fit_broadcast, lookup
-from ..functions.money import from_units, money_scale, to_units
+from ..functions.joins import DEFAULT_BROADCAST_BYTES, lookup, measured_bytes
+from ..functions.money import from_units, money_scale, to_units, unit_sum
 from ..schemas import EVENT_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES
 from ..sources.tables import Sources
 from .movements import containers
@@ -16,8 +16,8 @@ _ID_KEYS = ("order_id", "container_no", "client_id", "service_id",
             "from_point_id", "to_point_id", "from_station_id", "to_station_id")
 
 
-def billing_events(sources: Sources, movements_n: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def billing_events(sources: Sources, movements_n: DataFrame, only_moved: bool = True,
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Events of the four invoice codes for movement containers.
 
     Grouped by (order, container, client, service, points from/to, stations
@@ -25,10 +25,13 @@ def billing_events(sources: Sources, movements_n: DataFrame,
     with both sums zero (or NULL) are dropped.
 
     Plan: the ledger is first aggregated by the *ids* (map-side combine), then
-    semi-joined to the movement containers, then the six lookups run on the
-    reduced rows, then a second aggregation by names merges ids that share a
-    name.  Sums and minima compose, so this equals grouping the looked-up raw
-    lines by names (including the effect of a repeated dimension key).
+    the six lookups run on the reduced rows, then a second aggregation by names
+    merges ids that share a name.  Sums and minima compose, so this equals
+    grouping the looked-up raw lines by names (including the effect of a repeated
+    dimension key).  Both groupings have the order in their key, so a hot
+    container is spread over all tasks.  The container test comes last, as a
+    semi-join whose skewed partitions AQE may split; ``only_moved=False`` leaves it
+    out for callers that join the events to the movements anyway.
     """
     rub_scale = money_scale(sources.ledger, "amount_in_rub_without_vat")
     cur_scale = money_scale(sources.ledger, "amount_in_contract_currency_without_vat")
@@ -47,12 +50,12 @@ def billing_events(sources: Sources, movements_n: DataFrame,
                      to_units("amount_in_rub_without_vat", rub_scale).alias("rub"),
                      to_units("amount_in_contract_currency_without_vat", cur_scale).alias("cur")))
     by_ids = (lines.groupBy(*_ID_KEYS)
-              .agg(F.min("date_end").alias("date_e"), F.sum("rub").alias("rub"), F.sum("cur").alias("cur"))
-              .join(containers(movements_n), "container_no", "left_semi"))
-    n = max_broadcast_rows
-    small = sources.dim_fits or fit_broadcast(
+              .agg(F.min("date_end").alias("date_e"), unit_sum("rub", rub_scale).alias("rub"),
+                   unit_sum("cur", cur_scale).alias("cur")))
+    size = sources.dim_bytes or measured_bytes(
         {"counterparty": sources.dict_counterparty, "service": sources.dict_service,
-         "location": sources.dict_location, "stations": sources.dict_stations}, n)
+         "location": sources.dict_location, "stations": sources.dict_stations})
+    small = {name: n <= max_broadcast_bytes for name, n in size.items()}
     named = lookup(by_ids, sources.dict_counterparty, "client_id", "id", {"name": "client_name"},
                    broadcast=small["counterparty"])
     named = lookup(named, sources.dict_service, "service_id", "id", {"name": "service_name"},
@@ -66,8 +69,11 @@ def billing_events(sources: Sources, movements_n: DataFrame,
     named = lookup(named, sources.dict_stations, "to_station_id", "station_code",
                    {"station_name": "station_name_to"}, broadcast=small["stations"])
     events = (named.groupBy("order_id", "container_no", *EVENT_NAME_COLUMNS)
-              .agg(F.min("date_e").alias("date_e"), F.sum("rub").alias("rub_sum"), F.sum("cur").alias("cur_sum"))
+              .agg(F.min("date_e").alias("date_e"), unit_sum("rub", rub_scale).alias("rub_sum"),
+                   unit_sum("cur", cur_scale).alias("cur_sum"))
               .filter(any_nonzero("rub_sum", "cur_sum"))
               .withColumn("rub_sum", from_units("rub_sum", rub_scale))
               .withColumn("cur_sum", from_units("cur_sum", cur_scale)))
+    if only_moved:
+        events = events.join(containers(movements_n), "container_no", "left_semi")
     return events.select(*EVENT_COLUMNS)

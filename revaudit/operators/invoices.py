@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
-from ..functions.money import from_units, money_scale, to_units
+from ..functions.money import from_units, money_scale, to_units, unit_sum
 from ..schemas import (DOCUMENT_CODE, INVOICE_AMOUNT_COLUMNS, INVOICE_CODES, INVOICE_FILTER_CODES,
                        cur_column, rub_column)
 from .movements import containers, shipment_keys
@@ -48,8 +48,8 @@ def _ledger_groups(ledger: DataFrame, movements_n: DataFrame, keep_blank_documen
         lines = lines.filter(F.col("document_no") != "")
     grouped = (lines.groupBy("document_no", "order_id", "container_no", "esu_id")
                .agg(F.min("date_end").alias("date_e"),
-                    F.sum("rub").alias("rub_sum"),
-                    F.sum("cur").alias("cur_sum"))
+                    unit_sum("rub", money_scale(ledger, RUB)).alias("rub_sum"),
+                    unit_sum("cur", money_scale(ledger, CUR)).alias("cur_sum"))
                .filter(any_nonzero("rub_sum", "cur_sum")))
     return grouped.join(containers(movements_n), "container_no", "left_semi")
 
@@ -95,13 +95,14 @@ def with_document_fallback(grouped: DataFrame) -> DataFrame:
                   .filter(F.col("document_no_processed") != ""))
 
 
-def _pivot_sums(rub: str, cur: str) -> list:
+def _pivot_sums(ledger: DataFrame, rub: str, cur: str) -> list:
     """Eight conditional sums in minor units (0 where a code has no rows)."""
     aggs = []
     for code in INVOICE_CODES:
         hit = F.col("esu_id") == code
-        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(rub))), F.lit(0).cast("long")).alias(rub_column(code)))
-        aggs.append(F.coalesce(F.sum(F.when(hit, F.col(cur))), F.lit(0).cast("long")).alias(cur_column(code)))
+        for name, source, out in ((rub, RUB, rub_column(code)), (cur, CUR, cur_column(code))):
+            total = unit_sum(F.when(hit, F.col(name)), money_scale(ledger, source))
+            aggs.append(F.coalesce(total, F.lit(0).cast("long")).alias(out))
     return aggs
 
 
@@ -111,23 +112,26 @@ def _pivot_as_money(df: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def invoice_match(ledger: DataFrame, movements_n: DataFrame, keep_blank_documents: bool = False,
-                  method: str = "one_level") -> DataFrame:
+                  method: str = "one_level", only_shipped: bool = True) -> DataFrame:
     """Per (document, container) billed sums for the four invoice codes.
 
     Output: ``invoice_document_no, invoice_container_no`` and eight sums
     ``rub_<code>, cur_<code>`` (0 where a code has no rows); only pairs that
     occur as (container, shipment) in the movements and have a non-zero sum.
+    ``only_shipped=False`` leaves the pair test out, for callers that join the
+    result to the movements anyway (``one_level`` only).
     """
     if keep_blank_documents and method == "one_level":
         method = "two_level"
     pairs = shipment_keys(movements_n)
     if method == "one_level":
         lines = ledger_lines(ledger, INVOICE_CODES).filter(F.col("document_no") != "")
-        pivot = (lines.groupBy("document_no", "container_no")
-                 .agg(*_pivot_sums("rub", "cur"))
+        pivot = (lines.groupBy("container_no", "document_no")
+                 .agg(*_pivot_sums(ledger, "rub", "cur"))
                  .filter(any_nonzero(*INVOICE_AMOUNT_COLUMNS)))
-        matched = pivot.join(pairs, (pivot.container_no == pairs.container_no)
-                             & (pivot.document_no == pairs.shipment_no), "left_semi")
+        # Keys in the order of the pairs' own grouping, so their exchange serves the join too.
+        matched = pivot if not only_shipped else pivot.join(
+            pairs, (pivot.container_no == pairs.container_no) & (pivot.document_no == pairs.shipment_no), "left_semi")
         return _pivot_as_money(matched.select(F.col("document_no").alias("invoice_document_no"),
                                               F.col("container_no").alias("invoice_container_no"),
                                               *INVOICE_AMOUNT_COLUMNS), ledger)
@@ -142,6 +146,6 @@ def invoice_match(ledger: DataFrame, movements_n: DataFrame, keep_blank_document
                            & (grouped.document_no_processed == pairs.shipment_no), "left_semi")
     pivot = (matched.groupBy(F.col("document_no_processed").alias("invoice_document_no"),
                              F.col("container_no").alias("invoice_container_no"))
-             .agg(*_pivot_sums("rub_sum", "cur_sum"))
+             .agg(*_pivot_sums(ledger, "rub_sum", "cur_sum"))
              .filter(any_nonzero(*INVOICE_AMOUNT_COLUMNS)))
     return _pivot_as_money(pivot, ledger)

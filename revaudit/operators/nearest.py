@@ -6,40 +6,46 @@ Ties on ``date_e`` are broken by a total order (date_e, order_id, service,
 client, point from, point to, station from, station to); the whole event is
 picked at once, as one struct, so that all columns come from the same event.
 
+Events are first reduced to one row per (container, time): the greatest and the
+least of that time's events, combined map-side.
+
 Methods (all return the same rows):
 
-* ``segmented`` (default): skew-proof prefix scan.  A map-side combined count
-  finds hot containers (more than ``hot_rows`` events + keys).  Those are
-  scanned per (container, day) segment; what earlier / later days contribute
-  comes from a per-day summary table (one row per container-day, combined
-  map-side) and enters each day's scan as two sentinel rows.  Other containers
-  are one window partition each.  A container holding a third of all rows is
-  therefore spread over its days; no window partition exceeds ``hot_rows`` or
-  one container-day (events are unique per order and route, keys per time).
+* ``segmented`` (default): skew-proof prefix scan.  Rows of hot containers (more
+  than ``hot_rows`` events + keys) are tagged with their day, others with 0, and
+  one scan runs per (container, tag).  What earlier / later days contribute
+  comes from a summary table (one row per hot container-day, combined map-side)
+  and enters each day's scan as two sentinel rows.  A container holding a third
+  of all rows is therefore spread over its days.  With hot containers the tagged
+  rows are written once below the shared folder, so neither the summary nor the
+  scan reads the inputs again.
 * ``window``: one running max / min per container over the union of events and
   keys.  One shuffle, but a hot container is one window partition.
-* ``join``: the warehouse job's shape: join events to keys on container, then
-  a conditional arg-max / arg-min per key.  Rows = events x dispatch dates per
-  container; kept for equivalence tests.
+* ``join``: equi-joins on (container, day) with a conditional arg-max / arg-min
+  per key, and the summary's carries for the other days.  Rows = event times x dispatch
+  times of one container-day, never of a whole container.
 
 ``nearest_billing`` returns one row per distinct key.  ``attach_nearest`` adds
 the two blocks to every row of a table (a left as-of join) without a join back:
-the rows ride through the scan as a struct, so the wide rows are shuffled once.
+the rows ride through the same scan as a struct.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_diff
 from ..schemas import AFTER_COLUMNS, BEFORE_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES, NEAREST_FIELDS
+from ..session import work_path
 from .movements import movement_keys
 
-# A container with more events + dispatch keys than this is scanned per day.
+# A container with more events + dispatch keys than this is scanned per day; so is
+# none with less than 1 / MAX_HOT of all rows, which bounds the set of hot ones.
 DEFAULT_HOT_ROWS = 1_000_000
-# Above this many hot containers the set is joined instead of inlined as literals.
-MAX_HOT_LIST = 10_000
+MAX_HOT = 10_000
 
 _PAYLOAD = ("order_id", "container_no") + EVENT_NAME_COLUMNS + ("date_e", "rub_sum", "cur_sum")
 # Tie-break order after date_e and order_id (NULL names compare as '').
@@ -58,8 +64,10 @@ def event_struct() -> Column:
 
 
 def _clean_events(events: DataFrame) -> DataFrame:
+    """One row per (container, time): ``le`` / ``ge``, the greatest / least event of that time."""
     return (events.filter(F.col("container_no").isNotNull() & F.col("date_e").isNotNull())
-                  .select("container_no", F.col("date_e").alias("t"), event_struct().alias("ev")))
+                  .select("container_no", F.col("date_e").alias("t"), event_struct().alias("ev"))
+                  .groupBy("container_no", "t").agg(F.max("ev").alias("le"), F.min("ev").alias("ge")))
 
 
 def _picks(dispatch: Column, before: str = "b", after: str = "a") -> list[Column]:
@@ -77,22 +85,27 @@ def _picks(dispatch: Column, before: str = "b", after: str = "a") -> list[Column
 
 # --- hot containers ---------------------------------------------------------
 
-def _hot_from_counts(counts: DataFrame, hot_rows: int):
-    hot = counts.groupBy("container_no").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_rows).select("container_no")
-    found = hot.limit(MAX_HOT_LIST + 1).collect()
-    if len(found) <= MAX_HOT_LIST:
-        return [r["container_no"] for r in found]
-    return hot
+def _hot_from_counts(counts: DataFrame, hot_rows: int) -> list[str] | bool:
+    """Containers with more than ``hot_rows`` rows; True (all) for ``hot_rows=0``."""
+    if hot_rows <= 0:
+        return True
+    per = counts.groupBy("container_no").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_rows)
+    # All containers above hot_rows hold at most all rows, so this sum decides on a higher
+    # limit only where more than MAX_HOT of them exist.
+    total = per.agg(F.sum("n"), F.count(F.lit(1))).first()
+    if not total[1]:
+        return []
+    limit = max(hot_rows, total[0] // MAX_HOT)
+    return [r["container_no"] for r in per.filter(F.col("n") > limit).select("container_no").collect()]
 
 
 def hot_containers(movements_n: DataFrame, ledger: DataFrame | None = None,
-                   hot_rows: int = DEFAULT_HOT_ROWS):
-    """Containers whose window partition could exceed ``hot_rows`` rows.
+                   hot_rows: int = DEFAULT_HOT_ROWS) -> list[str] | bool:
+    """Containers whose window partition could exceed ``hot_rows`` rows (at most ``MAX_HOT``).
 
     Counted from the base tables (movement rows + ledger lines of the event
     codes: upper bounds of dispatch keys and billing events), with map-side
-    combining.  At most total_rows / hot_rows containers qualify.  Returns a
-    list when it has at most ``MAX_HOT_LIST`` entries, else a DataFrame.
+    combining.
     """
     parts = movements_n.select("container_no", F.lit(1).cast("long").alias("n"))
     if ledger is not None:
@@ -103,20 +116,12 @@ def hot_containers(movements_n: DataFrame, ledger: DataFrame | None = None,
     return _hot_from_counts(parts.filter(F.col("container_no").isNotNull()), hot_rows)
 
 
-def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int):
+def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int) -> list[str] | bool:
     counts = (ev.select("container_no", F.lit(1).cast("long").alias("n"))
               .unionByName(keys.select("container_no", F.lit(1).cast("long").alias("n"))))
     return _hot_from_counts(counts, hot_rows)
 
 
-def _split(df: DataFrame, hot) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot containers, rows of the others)."""
-    if isinstance(hot, list):
-        flag = F.coalesce(F.col("container_no").isin(hot), F.lit(False))
-        return df.filter(flag), df.filter(~flag)
-    return df.join(hot, "container_no", "left_semi"), df.join(hot, "container_no", "left_anti")
-
-
 def _segment_of(t: Column, granularity: str) -> Column:
     day = F.unix_date(F.to_date(t)).cast("long")
     if granularity == "day":
@@ -136,63 +141,55 @@ def _probes(keys: DataFrame) -> DataFrame:
     return keys.select("container_no", F.col("dispatch_ts").alias("t"), "m")
 
 
-def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
+def _rows(ev: DataFrame, keys: DataFrame) -> DataFrame:
+    """Events and probes in one table: container_no, t, le, ge, kind (0 event, 1 probe), m."""
     p = _probes(keys)
-    none_ev = F.lit(None).cast(ev.schema["ev"].dataType)
-    rows = (ev.select("container_no", "t", "ev", F.lit(False).alias("is_key"),
+    none = F.lit(None).cast(ev.schema["le"].dataType)
+    return (ev.select("container_no", "t", "le", "ge", F.lit(0).alias("kind"),
                       F.lit(None).cast(p.schema["m"].dataType).alias("m"))
-            .unionByName(p.select("container_no", "t", none_ev.alias("ev"), F.lit(True).alias("is_key"), "m")))
-    up = Window.partitionBy("container_no").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = (Window.partitionBy("container_no").orderBy(F.col("t").desc())
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    # A probe without a time sorts first ascending (it is a peer only of other such
-    # probes, so ``b`` is NULL) but last descending, where its frame would hold
-    # every event: its ``a`` is set to NULL explicitly.
-    return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "is_key", "m",
-                        F.max("ev").over(up).alias("b"),
-                        F.when(F.col("t").isNotNull(), F.min("ev").over(down)).alias("a"))
-            .filter("is_key").drop("is_key"))
-
-
-def _segmented(ev: DataFrame, keys: DataFrame, hot, granularity: str = "day") -> DataFrame:
-    """``hot``: list / DataFrame of hot containers, or True when all are hot."""
-    if isinstance(hot, list) and not hot:
-        return _window(ev, keys)
-    p = _probes(keys)
-    t_type = ev.schema["t"].dataType
-    ev_type = ev.schema["ev"].dataType
-    no_m = F.lit(None).cast(p.schema["m"].dataType)
-    none = F.lit(None).cast(ev_type)
-    rows = (ev.select("container_no", "t", F.col("ev").alias("le"), F.col("ev").alias("ge"),
-                      F.lit(0).alias("kind"), no_m.alias("m"))
             .unionByName(p.select("container_no", "t", none.alias("le"), none.alias("ge"),
                                   F.lit(1).alias("kind"), "m")))
-    # 1. Flag the rows of hot containers: all, a literal set, or a join with the
-    #    (larger) set, which AQE broadcasts or shuffles by its real size.
-    if hot is True:
-        rows = rows.withColumn("hot", F.lit(True))
-    elif isinstance(hot, list):
-        rows = rows.withColumn("hot", F.col("container_no").isin(hot))
-    else:
-        rows = (rows.join(hot.select("container_no", F.lit(True).alias("hot")), "container_no", "left")
-                .withColumn("hot", F.coalesce(F.col("hot"), F.lit(False))))
-    rows = rows.withColumn("seg", F.when(F.col("hot"), _segment_of(F.col("t"), granularity))
-                           .otherwise(F.lit(0).cast("long")))
-    # 2. For hot containers: carry-in per (container, segment) from strictly
-    #    earlier / later segments, over a summary with one row per container-segment
-    #    (combined map-side), so that window is bounded by the number of segments.
-    hot_part = rows.filter(F.col("hot"))
-    summary = (hot_part.filter(F.col("kind") == 0).groupBy("container_no", "seg")
-               .agg(F.max("le").alias("seg_le"), F.min("ge").alias("seg_ge"), F.lit(False).alias("has_key")))
-    key_segs = (hot_part.filter(F.col("kind") == 1).select("container_no", "seg").distinct()
-                .select("container_no", "seg", none.alias("seg_le"), none.alias("seg_ge"), F.lit(True).alias("has_key")))
-    earlier = Window.partitionBy("container_no").orderBy("seg").rangeBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("container_no").orderBy("neg_seg").rangeBetween(Window.unboundedPreceding, -1)
-    carries = (summary.unionByName(key_segs).withColumn("neg_seg", -F.col("seg"))
-               .select("container_no", "seg", "has_key",
-                       F.max("seg_le").over(earlier).alias("carry_le"),
-                       F.min("seg_ge").over(later).alias("carry_ge"))
-               .filter("has_key"))
+
+
+def _scan(rows: DataFrame, *keys: str) -> DataFrame:
+    """Running max of ``le`` / min of ``ge`` per key; equal times are RANGE peers, so an
+    event at the dispatch time counts on both sides.
+
+    A probe without a time sorts first ascending (it is a peer only of other such
+    probes, so ``b`` is NULL) but last descending, where its frame would hold
+    every event: its ``a`` is set to NULL explicitly.
+    """
+    up = Window.partitionBy(*keys).orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = (Window.partitionBy(*keys).orderBy(F.col("t").desc())
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "kind", "m",
+                        F.max("le").over(up).alias("b"),
+                        F.when(F.col("t").isNotNull(), F.min("ge").over(down)).alias("a"))
+            .filter(F.col("kind") == 1).drop("kind"))
+
+
+def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
+    return _scan(_rows(ev, keys), "container_no")
+
+
+def _segmented(ev: DataFrame, keys: DataFrame, hot: list[str] | bool, granularity: str = "day") -> DataFrame:
+    """``hot``: the hot containers, or True when all are hot."""
+    if hot is not True and not hot:
+        return _window(ev, keys)
+    rows = _rows(ev, keys)
+    t_type, ev_type, m_type = (rows.schema[c].dataType for c in ("t", "le", "m"))
+    none, no_m = F.lit(None).cast(ev_type), F.lit(None).cast(m_type)
+    # 1. Tag: the day for rows of hot containers, NULL days with their own tag, else 0.
+    is_hot = F.lit(True) if hot is True else F.col("container_no").isin(hot)
+    low_tag = F.lit(-2 ** 62).cast("long")
+    tag = F.when(is_hot, F.coalesce(_segment_of(F.col("t"), granularity), low_tag)).otherwise(F.lit(0).cast("long"))
+    # Written once: the summary and the scan both read these rows.
+    path = work_path(ev.sparkSession, "tagged", uuid.uuid4().hex[:12])
+    rows.withColumn("hot", is_hot).withColumn("seg", tag).write.parquet(path)
+    rows = ev.sparkSession.read.parquet(path)
+    # 2. Carry-in per hot (container, segment) from strictly earlier / later segments, over
+    #    a summary with one row per container-segment (combined map-side).
+    carries = _carries(rows.filter(F.col("hot"))).filter(F.col("seg") != low_tag)
     # 3. The carries enter each segment's scan as two sentinel rows: one before
     #    every timestamp (earlier segments' best), one after (later segments' best).
     sentinels = F.explode(F.array(
@@ -200,23 +197,37 @@ def _segmented(ev: DataFrame, keys: DataFrame, hot, granularity: str = "day") ->
         F.struct(F.lit(_HIGH).cast(t_type).alias("t"), none.alias("le"), F.col("carry_ge").alias("ge"))))
     carry_rows = (carries.select("container_no", "seg", sentinels.alias("c"))
                   .select("container_no", "c.t", "c.le", "c.ge", F.lit(2).alias("kind"), no_m.alias("m"), "seg"))
-    # 4. Running max / min per (container, segment); equal timestamps are RANGE
-    #    peers, so an event at the dispatch time counts on both sides.
-    scan = rows.select("container_no", "t", "le", "ge", "kind", "m", "seg").unionByName(carry_rows)
-    up = (Window.partitionBy("container_no", "seg").orderBy("t")
-          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    down = (Window.partitionBy("container_no", "seg").orderBy(F.col("t").desc())
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (scan.select("container_no", F.col("t").alias("dispatch_ts"), "kind", "m",
-                        F.max("le").over(up).alias("b"), F.min("ge").over(down).alias("a"))
-            .filter(F.col("kind") == 1).drop("kind"))
+    # 4. One scan for hot and cold containers alike.
+    columns = ["container_no", "t", "le", "ge", "kind", "m", "seg"]
+    return _scan(rows.select(*columns).unionByName(carry_rows.select(*columns)), "container_no", "seg")
 
 
-def _join(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    pairs = ev.join(keys.select("container_no", "dispatch_ts"), "container_no")
-    return (pairs.groupBy("container_no", "dispatch_ts")
-            .agg(F.max(F.when(F.col("t") <= F.col("dispatch_ts"), F.col("ev"))).alias("b"),
-                 F.min(F.when(F.col("t") >= F.col("dispatch_ts"), F.col("ev"))).alias("a")))
+def _carries(rows: DataFrame) -> DataFrame:
+    """container_no, seg, carry_le, carry_ge for the segments that hold a probe: the greatest event of
+    strictly earlier segments and the least of later ones, over one row per container-segment."""
+    summary = (rows.groupBy("container_no", "seg")
+               .agg(F.max("le").alias("seg_le"), F.min("ge").alias("seg_ge"), F.max("kind").alias("has_key")))
+    earlier = Window.partitionBy("container_no").orderBy("seg").rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("container_no").orderBy("neg_seg").rangeBetween(Window.unboundedPreceding, -1)
+    return (summary.withColumn("neg_seg", -F.col("seg"))
+            .select("container_no", "seg", "has_key",
+                    F.max("seg_le").over(earlier).alias("carry_le"),
+                    F.min("seg_ge").over(later).alias("carry_ge"))
+            .filter(F.col("has_key") == 1).drop("has_key"))
+
+
+def _join(ev: DataFrame, keys: DataFrame, granularity: str = "day") -> DataFrame:
+    """Equi-joins on (container, day): the day's own events, and what other days carry in."""
+    seg = _segment_of(F.col("t"), granularity)
+    carries = _carries(_rows(ev, keys).withColumn("seg", seg)).filter("seg IS NOT NULL")
+    probes = _probes(keys).select("container_no", F.col("t").alias("dispatch_ts"), seg.alias("seg"))
+    own = ev.withColumn("seg", seg)
+    met = (probes.join(own, ["container_no", "seg"], "left").groupBy("container_no", "seg", "dispatch_ts")
+           .agg(F.max(F.when(F.col("t") <= F.col("dispatch_ts"), F.col("le"))).alias("b"),
+                F.min(F.when(F.col("t") >= F.col("dispatch_ts"), F.col("ge"))).alias("a")))
+    return (met.join(carries, ["container_no", "seg"], "left")
+            .select("container_no", "dispatch_ts", F.coalesce("b", "carry_le").alias("b"),
+                    F.coalesce("a", "carry_ge").alias("a")))
 
 
 _METHODS = ("segmented", "window", "join")
@@ -261,41 +272,29 @@ def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "segmented"
     ``before_*`` / ``after_*`` blocks: a left as-of join, with the same values as
     ``nearest_billing`` joined back on the key.
 
-    Cold containers: the rows ride through the window scan as one struct, so
-    there is no join back; a row without a dispatch time picks nothing.  Hot
-    containers: the distinct keys go through the segmented scan and are joined
-    back (a hot key with many copies is then a skewed join partition that AQE
-    splits).  Rows without a container get NULL blocks without entering the scan
-    (they would all share one window partition); ``null_containers=False``
-    promises there are none and drops that branch from the plan.
+    The rows ride through the scan as one struct, so there is no join back; a row
+    without a dispatch time picks nothing.  Rows without a container get NULL
+    blocks without entering the scan (they would all share one window partition);
+    ``null_containers=False`` promises there are none and drops that branch from
+    the plan.
     """
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     cols = [F.col(f"`{c}`") for c in rows.columns]
     blocks = list(BEFORE_COLUMNS + AFTER_COLUMNS)
-    ev = _clean_events(events)
     has_container = F.col("container_no").isNotNull()
     scanned = rows.filter(has_container) if null_containers else rows
-
-    def joined_back(part: DataFrame, near: DataFrame) -> DataFrame:
-        return part.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *blocks)
-
     if method == "join":
-        out = joined_back(scanned, nearest_billing(events, scanned, "join"))
+        near = nearest_billing(events, scanned, "join")
+        out = scanned.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *blocks)
     else:
+        ev = _clean_events(events)
         if method == "window":
             hot = []
         elif hot is None:
             hot = _hot_from_inputs(ev, movement_keys(scanned), hot_rows)
-        any_hot = not (isinstance(hot, list) and not hot)
-        hot_part, cold_part = _split(scanned, hot) if any_hot else (None, scanned)
-        hot_ev, cold_ev = _split(ev, hot) if any_hot else (None, ev)
-        probes = cold_part.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
-        out = _window(cold_ev, probes).select("m.*", *_picks(F.col("m.dispatch_ts")))
-        if any_hot:
-            near = (_segmented(hot_ev, movement_keys(hot_part), True, granularity)
-                    .select("container_no", "dispatch_ts", *_picks(F.col("dispatch_ts"))))
-            out = out.unionByName(joined_back(hot_part, near))
+        probes = scanned.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
+        out = _segmented(ev, probes, hot, granularity).select("m.*", *_picks(F.col("m.dispatch_ts")))
     if null_containers:
         nulls = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in blocks]
         out = out.unionByName(rows.filter(~has_container).select(*cols, *nulls))

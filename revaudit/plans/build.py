@@ -15,7 +15,7 @@ from ..operators.numbering import number_rows
 from ..sources.tables import Sources
 
 
-# Storage order of the published table: dispatch time first, then every other column.
+# Order of the published row numbers: dispatch time first, then every other column.
 STORAGE_ORDER = ["dispatch_ts", "railway_from", "container_no", "shipment_no"]
 
 
@@ -38,8 +38,10 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     the range shuffle (its sampling pass reads the movement scan, not the joins).
     """
     movements_n = normalise_movements(sources.movements, railway, normalise_container)
-    invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method)
-    events = billing_events(sources, movements_n)
+    # The left joins below ignore invoices and events of other containers, so neither
+    # side is tested against the movements first.
+    invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method, only_shipped=False)
+    events = billing_events(sources, movements_n, only_moved=False)
     left = number_rows(movements_n, order=STORAGE_ORDER) if number else movements_n
     extra = [c for c in left.columns if c not in movements_n.columns]
     if nearest_method == "join":

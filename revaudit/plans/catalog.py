@@ -8,13 +8,15 @@ returned as double so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import decimals_to_double
 from ..operators.billing import billing_events
-from ..operators.enrich import (enriched_with_defaults, movements_with_invoices, presentation_names)
+from ..operators.enrich import (enriched_with_defaults, movements_with_invoices, presentation_names,
+                                published_table)
 from ..operators.fingerprint import (compare_fingerprints, fingerprint, processed_fingerprint,
                                      refresh_decision, source_fingerprint)
 from ..operators.invoices import invoice_match, ledger_by_document, with_document_fallback
@@ -24,8 +26,8 @@ from ..operators.nearest import (DEFAULT_HOT_ROWS, hot_containers, nearest_after
 from ..session import work_path
 from ..sources import testdata
 from .build import build_enriched
-from .oracle import ONE_RAILWAY, STALE_CUTOFF
-from .publish import build_sliced, publish, status_record
+from .oracle import ONE_RAILWAY
+from .publish import build_sliced, in_number_order, publish, read_live, status_record
 from .refresh import TABLE_NAME
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,16 +53,33 @@ def q_processed_fingerprint(spark, sf_dir):
     return processed_fingerprint(_mv(spark, sf_dir))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published table (numbers, engine names) of these inputs, built and published once per input snapshot."""
+    root = work_path(spark, "published", testdata.signature(spark, sf_dir))
+    live = read_live(spark, root)
+    if live is None:
+        publish(in_number_order(build_enriched(_src(spark, sf_dir), number=True)), root, view_name=None)
+        live = read_live(spark, root)
+    return live
+
+
 def q_refresh_decision(spark, sf_dir):
-    src = _src(spark, sf_dir)
-    stale = normalise_movements(src.movements).filter(
-        F.col("dispatch_ts") < F.lit(STALE_CUTOFF).cast("timestamp_ntz"))
-    return refresh_decision(source_fingerprint(src.movements), processed_fingerprint(stale))
+    """The decision in four cases, one for each reason."""
+    src, live = _src(spark, sf_dir), _published(spark, sf_dir)
+    one = ONE_RAILWAY.replace('"', "")
+    source, target = source_fingerprint(src.movements), processed_fingerprint(live)
+    a_slice = processed_fingerprint(live.filter(F.col("railway_from") == one))
+    later = source_fingerprint(src.movements.withColumn(
+        "datetime_move_started", F.col("datetime_move_started") + F.expr("INTERVAL 1 DAY")))
+    cases = {"same": (source, target), "one_slice_published": (source, a_slice),
+             "source_of_one_slice": (a_slice, target), "a_day_later": (later, target)}
+    return reduce(DataFrame.unionByName, [
+        refresh_decision(s, t).select(F.lit(name).alias("case_name"), "*") for name, (s, t) in cases.items()])
 
 
 def q_fingerprint_diff(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return compare_fingerprints(source_fingerprint(src.movements), processed_fingerprint(build_enriched(src)))
+    return compare_fingerprints(source_fingerprint(src.movements), processed_fingerprint(_published(spark, sf_dir)))
 
 
 def q_normalised_movements(spark, sf_dir):
@@ -111,7 +130,7 @@ def _nearest(method: str, side: str | None = None, hot_rows: int = DEFAULT_HOT_R
     def run(spark, sf_dir):
         src = _src(spark, sf_dir)
         mv = normalise_movements(src.movements)
-        events = billing_events(src, mv)
+        events = billing_events(src, mv, only_moved=False)  # the scan ignores other containers
         hot = hot_containers(mv, src.ledger, hot_rows) if method == "segmented" else None
         fn = {None: nearest_billing, "before": nearest_before, "after": nearest_after}[side]
         return decimals_to_double(fn(events, mv, method, hot_rows, hot=hot))
@@ -156,13 +175,18 @@ def q_numbered_movements(spark, sf_dir):
 
 
 def q_published_snapshot(spark, sf_dir):
-    numbered = build_enriched(_src(spark, sf_dir), number=True).sortWithinPartitions("rownumber")
-    path = publish(numbered, _run_folder(spark, "publish"), view_name="live")
+    return decimals_to_double(_published(spark, sf_dir))
+
+
+def q_published_presentation(spark, sf_dir):
+    root = _run_folder(spark, "publish")
+    table = published_table(build_enriched(_src(spark, sf_dir), number=True))
+    publish(in_number_order(table), root, view_name="live")
     return decimals_to_double(spark.table("live"))
 
 
 def q_table_status(spark, sf_dir):
-    return status_record(processed_fingerprint(build_enriched(_src(spark, sf_dir))), TABLE_NAME)
+    return status_record(processed_fingerprint(_published(spark, sf_dir)), TABLE_NAME)
 
 
 QUERIES: dict[str, Query] = {
@@ -195,5 +219,6 @@ QUERIES: dict[str, Query] = {
     "sliced_build": q_sliced_build,
     "numbered_movements": q_numbered_movements,
     "published_snapshot": q_published_snapshot,
+    "published_presentation": q_published_presentation,
     "table_status": q_table_status,
 }

@@ -22,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -45,7 +46,9 @@ def build_session(master: str | None = None, app_name: str = "revaudit",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM, one set of folders: ``local`` or ``local[..]``, not ``local-cluster[..]``."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:

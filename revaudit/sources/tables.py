@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import LEDGER_SOURCE_COLUMNS, MOVEMENT_SOURCE_COLUMNS
+
 SOURCE_TABLES = ("movements", "ledger", "dict_counterparty", "dict_service",
                  "dict_location", "dict_stations")
 
@@ -18,20 +20,23 @@ class Sources:
     dict_service: DataFrame        # id, name
     dict_location: DataFrame       # id, name
     dict_stations: DataFrame       # station_code, station_name
-    # Result of the dimension size check (name -> may be broadcast), when known
-    # for this immutable snapshot of the inputs; None = check when used.
-    dim_fits: dict[str, bool] | None = field(default=None, compare=False)
+    # Measured bytes of the dimensions, when known for this immutable snapshot of
+    # the inputs; None = measure when used.
+    dim_bytes: dict[str, int] | None = field(default=None, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SOURCE_TABLES}
 
 
 def read_sources(spark: SparkSession, root: str) -> Sources:
-    """Read the six input tables stored as Parquet folders ``<root>/<table>``."""
-    return Sources(**{name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in SOURCE_TABLES})
-
-
-def register_views(sources: Sources) -> None:
-    """Expose the inputs as temporary views under their table names (for Spark SQL)."""
-    for name, df in sources.as_dict().items():
-        df.createOrReplaceTempView(name)
+    """Read the six input tables stored as Parquet folders ``<root>/<table>``.
+
+    The two fact tables must have the columns of ``schemas``; a missing one is named.
+    """
+    sources = Sources(**{name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in SOURCE_TABLES})
+    for name, df, columns in (("movements", sources.movements, MOVEMENT_SOURCE_COLUMNS),
+                              ("ledger", sources.ledger, LEDGER_SOURCE_COLUMNS)):
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"{name} lacks the columns {missing}")
+    return sources

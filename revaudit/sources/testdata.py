@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_path
-from ..functions.joins import DEFAULT_BROADCAST_ROWS, fit_broadcast
+from ..functions.joins import measured_bytes
 from .tables import SOURCE_TABLES, Sources, read_sources
 
 # Bump when the derivation below changes, so stored copies are not reused.
@@ -134,19 +134,30 @@ def derive(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
 
-def dimension_fits(sources: Sources, max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
-    """Which dimensions may be broadcast (one job with a capped count per table)."""
-    return fit_broadcast({"counterparty": sources.dict_counterparty, "service": sources.dict_service,
-                          "location": sources.dict_location, "stations": sources.dict_stations}, max_rows)
+def dimension_bytes(sources: Sources) -> dict[str, int]:
+    """Measured bytes of each dimension (one job)."""
+    return measured_bytes({"counterparty": sources.dict_counterparty, "service": sources.dict_service,
+                           "location": sources.dict_location, "stations": sources.dict_stations})
 
 
-def _signature(sf_dir: str) -> str:
+# The test tables that the derivation reads.
+_BASE_TABLES = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+def signature(spark: SparkSession, sf_dir: str) -> str:
+    """Path, sizes and times of the base tables' files, by the Hadoop file status: any file system."""
     parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, str(FIXTURE_VERSION)]
-    if os.path.isdir(sf_dir):
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in _BASE_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        status = fs.getFileStatus(path)
+        for st in (fs.listStatus(path) if status.isDirectory() else [status]):
+            parts.append(f"{table}/{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -156,8 +167,8 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-# Dimension size checks per stored snapshot (the snapshot never changes).
-_DIM_FITS: dict[str, dict[str, bool]] = {}
+# Dimension sizes per stored snapshot (the snapshot never changes).
+_DIM_BYTES: dict[str, dict[str, int]] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Sources:
@@ -168,7 +179,7 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Sources:
     """
     if not materialize:
         return derive(spark, sf_dir)
-    root = work_path(spark, "inputs", _signature(sf_dir))
+    root = work_path(spark, "inputs", signature(spark, sf_dir))
     if not all(_complete(spark, f"{root}/{name}") for name in SOURCE_TABLES):
         derived = derive(spark, sf_dir).as_dict()
         files = 2 * spark.sparkContext.defaultParallelism
@@ -179,6 +190,6 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Sources:
                     df = df.repartition(files)
                 df.write.mode("overwrite").parquet(f"{root}/{name}")
     sources = read_sources(spark, root)
-    if root not in _DIM_FITS:
-        _DIM_FITS[root] = dimension_fits(sources)
-    return replace(sources, dim_fits=_DIM_FITS[root])
+    if root not in _DIM_BYTES:
+        _DIM_BYTES[root] = dimension_bytes(sources)
+    return replace(sources, dim_bytes=_DIM_BYTES[root])

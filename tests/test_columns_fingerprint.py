@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import make_sources, movement, rows, ts
-from revaudit.functions.columns import (day_diff, null_to_blank, sorted_distinct_text, split_names,
+from revaudit.functions.columns import (day_diff, null_to_blank, sorted_text, split_names,
                                         strip_quotes, ts_text, upper_utf8, with_defaults)
 from revaudit.operators.fingerprint import (compare_fingerprints, fingerprint, processed_fingerprint,
                                             refresh_decision, source_fingerprint, validate)
@@ -24,9 +24,9 @@ def test_scalar_helpers(spark):
     assert r["t"] == "2020-01-01 23:59:00"
 
 
-def test_sorted_distinct_text_drops_null_keeps_blank_byte_order(spark):
-    df = spark.createDataFrame([("b",), ("Я",), ("a",), (None,), ("",), ('"z',), ("b",)], "x string")
-    assert df.agg(sorted_distinct_text("x").alias("t")).first()["t"] == '|"z|a|b|Я'
+def test_sorted_text_drops_null_keeps_blank_byte_order(spark):
+    df = spark.createDataFrame([("b",), ("Я",), ("a",), (None,), ("",), ('"z',)], "x string")
+    assert df.agg(sorted_text("x").alias("t")).first()["t"] == '|"z|a|b|Я'
 
 
 def test_split_names(spark):

@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest as _pytest
+from pyspark.sql import functions as F
+
 from conftest import line, make_sources, movement, rows
 from revaudit.operators.billing import billing_events
 from revaudit.operators.invoices import invoice_match, ledger_by_document, with_document_fallback
@@ -140,12 +143,71 @@ def test_duplicate_dimension_key_multiplies_sums(spark):
     assert out["rub_sum"] == Decimal("20.00")   # as a plain left join before the sum does
 
 
-def test_assert_unique_and_checked_broadcast(spark):
-    import pytest as _pytest
-    from revaudit.functions.joins import assert_unique, fit_broadcast, fits_broadcast
+def test_assert_unique_and_measured_bytes(spark):
+    from revaudit.functions.joins import assert_unique, measured_bytes
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id bigint, name string")
     with _pytest.raises(ValueError):
         assert_unique(dim, "id")
     assert_unique(dim.filter("id = 1"), "id")
-    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
-    assert fit_broadcast({"d": dim, "e": dim.limit(1)}, 2) == {"d": False, "e": True}
+    wide = dim.withColumn("name", F.repeat("name", 1000))
+    got = measured_bytes({"d": dim, "none": dim.limit(0), "wide": wide})
+    assert got["none"] == 0 and 3 * 8 < got["d"] < 1000 and got["wide"] - got["d"] == 3 * 999
+
+
+def test_broadcast_limit_is_honoured(spark, capsys):
+    """With a limit of one byte no lookup is hinted as a broadcast, whatever was measured before."""
+    from dataclasses import replace
+    src = make_sources(spark, [movement()], [line()])
+    src = replace(src, dim_bytes={k: 100 for k in ("counterparty", "service", "location", "stations")})
+    mv = normalise_movements(src.movements)
+    hinted = []
+    for limit in (1, 1 << 20):
+        plan = billing_events(src, mv, max_broadcast_bytes=limit)._jdf.queryExecution().optimizedPlan().toString()
+        hinted.append(plan.count("strategy=broadcast"))
+    assert hinted == [0, 6]
+
+
+def _ledger_of(spark, kind, values):
+    return make_sources(spark, [movement(container="C1", shipment="S1")], [line()]).ledger.drop(
+        "amount_in_rub_without_vat").crossJoin(spark.createDataFrame([(v,) for v in values], "a string")).withColumn(
+        "amount_in_rub_without_vat", F.col("a").cast(kind)).drop("a")
+
+
+MONEY = [("decimal(18,4)", ["0.0049"]), ("decimal(18,4)", ["0.00004", "0.0001"]), ("decimal(20,6)", ["9123456789012.345678"]),
+         ("decimal(18,2)", ["9999999999999999.99"] * 3), ("decimal(18,6)", ["999999999999.999999", "-0.000001"]), ("decimal(18,0)", ["999999999999999999"]),
+         ("decimal(38,2)", ["123456789012345678901234567890.12", "0.01"]), ("decimal(18,18)", ["0.123456789012345678", "0.000000000000000001"]), ("bigint", ["12345", "-5"])]
+
+
+@_pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_is_exact_at_every_scale(spark, ansi):
+    from decimal import getcontext
+    getcontext().prec = 60
+    mv = normalise_movements(make_sources(spark, [movement(container="C1", shipment="S1")], []).movements)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for kind, values in MONEY:
+            ledger = _ledger_of(spark, kind, values)
+            scale = int(kind[:-1].split(",")[1]) if "," in kind else 0
+            want = sum(Decimal(v).quantize(Decimal(1).scaleb(-scale), rounding="ROUND_HALF_UP") for v in values)
+            for method in ("one_level", "two_level"):
+                assert invoice_match(ledger, mv, method=method).first()["rub_0_01_01_01"] == want, (kind, method)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    # Sums beyond a long of minor units: an error under ANSI, exact without.
+    many = _ledger_of(spark, "decimal(18,0)", ["999999999999999999"] * 12)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        if ansi == "true":
+            with _pytest.raises(Exception, match="overflow"):
+                invoice_match(many, mv).collect()
+        else:
+            assert invoice_match(many, mv).first()["rub_0_01_01_01"] == 12 * Decimal("999999999999999999")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_floating_point_amounts_are_refused(spark):
+    mv = normalise_movements(make_sources(spark, [movement()], []).movements)
+    with _pytest.raises(TypeError, match="cast it to a decimal"):
+        invoice_match(_ledger_of(spark, "double", ["0.004"]), mv)

@@ -126,26 +126,31 @@ def test_hot_containers_bound(spark):
     assert hot_containers(mv, None, hot_rows=100) == []
 
 
-def test_hot_path_with_joined_hot_set(spark, monkeypatch):
-    """More hot containers than the literal-set limit: the set is joined."""
+def test_hot_set_is_bounded(spark, monkeypatch):
+    """More hot containers than MAX_HOT: the limit rises, so that the set stays bounded."""
     import revaudit.operators.nearest as nearest
-    monkeypatch.setattr(nearest, "MAX_HOT_LIST", 1)
-    events = [ev(i, f"C{i % 3}", f"2020-01-{1 + i:02d} 00:00:00") for i in range(12)]
-    keys = [(f"C{i % 4}", ts(f"2020-01-{2 + i:02d} 12:00:00"), "s") for i in range(12)]
-    out = _run(spark, events, keys, "segmented", {"hot_rows": 0})
-    assert _as_dict(out) == brute(events, keys)
-    assert out.filter(F.col("before_order_id").isNotNull()).count() > 0
+    monkeypatch.setattr(nearest, "MAX_HOT", 2)
+    mv = spark.createDataFrame([("H",)] * 30 + [("A",)] * 12 + [("B",)] * 11 + [("C",)] * 10, "container_no string")
+    assert hot_containers(mv, None, hot_rows=5) == []      # none has more than half of the 63 rows
+    more = mv.unionAll(spark.createDataFrame([("H",)] * 10, "container_no string"))
+    assert hot_containers(more, None, hot_rows=5) == ["H"]
+    assert hot_containers(more, None, hot_rows=0) is True
+
+
+def test_events_of_one_time_are_one_row(spark):
+    import revaudit.operators.nearest as nearest
+    events = [ev(i, "C1", "2020-01-01 00:00:00") for i in range(50)] + [ev(99, "C1", "2020-01-02 00:00:00")]
+    reduced = nearest._clean_events(spark.createDataFrame(events, EVENT_SCHEMA))
+    assert sorted((r["le"]["p"]["order_id"], r["ge"]["p"]["order_id"]) for r in reduced.collect()) == [(49, 0), (99, 99)]
 
 
 ROW_SCHEMA = "container_no string, dispatch_ts timestamp_ntz, shipment_no string, payload string"
 
 
-@pytest.mark.parametrize("method,kw,max_list", [
-    ("window", {}, 10_000), ("segmented", {}, 10_000), ("segmented", {"hot_rows": 0}, 10_000),
-    ("segmented", {"hot_rows": 0}, 1), ("segmented", {"hot_rows": 12}, 10_000), ("join", {}, 10_000)])
-def test_attach_equals_key_results_joined_back(spark, monkeypatch, method, kw, max_list):
+@pytest.mark.parametrize("method,kw", [
+    ("window", {}), ("segmented", {}), ("segmented", {"hot_rows": 0}), ("segmented", {"hot_rows": 12}), ("join", {})])
+def test_attach_equals_key_results_joined_back(spark, method, kw):
     import revaudit.operators.nearest as nearest
-    monkeypatch.setattr(nearest, "MAX_HOT_LIST", max_list)
     rnd = random.Random(9)
     base = dt.datetime(2020, 1, 1)
     events = [ev(i, f"C{rnd.randint(1, 6)}", (base + dt.timedelta(days=rnd.randint(0, 15))).isoformat(sep=" "),

@@ -40,3 +40,59 @@ def test_no_estimate_based_broadcast(spark, capsys):
     broadcast_joins = len(re.findall(r"BroadcastHashJoin", plan.split("\n\n")[0]))
     # the six dimension lookups (checked hint) and the fixed-size hot list are the only broadcasts
     assert broadcast_joins <= 6
+
+
+def _scans(df, table) -> int:
+    """Parquet scans of a stored input in the physical plan (a reused exchange's side counts once)."""
+    return df._jdf.queryExecution().executedPlan().toString().count(f"/{table}]")
+
+
+def test_invoice_pairs_are_not_shuffled_in_the_build(spark, capsys):
+    src = testdata.load(spark, SF)
+    plan = _plan(build_enriched(src), capsys)
+    assert "LeftSemi" not in plan        # the left joins that follow do the same test
+
+
+def test_one_range_exchange_numbers_the_rows(spark):
+    from revaudit.operators.numbering import number_rows
+    df = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey")
+    out = number_rows(df, partitions=6)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    ranged = len(re.findall(r"(?<!Reused)Exchange rangepartitioning", final))
+    reused = final.count("ReusedExchange")
+    assert ranged - reused <= 1 and ranged >= 1
+
+
+def test_hot_container_does_not_add_scans(spark):
+    """Rows of hot and cold containers are tagged and written once; the scan and its summary read that table."""
+    src = testdata.load(spark, SF)
+    top = src.movements.groupBy("container_number").count().orderBy("count", ascending=False).first()[1]
+    hot = build_enriched(src, hot_rows=top - 1)
+    cold = build_enriched(src, hot_rows=10**9)
+    for table in ("movements", "ledger"):
+        assert _scans(hot, table) <= _scans(cold, table)
+
+
+def test_half_the_ledger_on_one_container_is_spread(spark, scratch_dir):
+    """No task of the events' plan gets much more than the others, with runtime broadcasts off."""
+    from pyspark.sql import functions as F
+
+    from dataclasses import replace
+
+    from revaudit.operators.billing import billing_events
+    from revaudit.operators.movements import normalise_movements
+    src = testdata.load(spark, "/root/testdata/sf0.01")
+    half = F.xxhash64("service_details_order_id") % 2 == 0
+    ledger = src.ledger.withColumn("service_details_container_number",
+                                   F.when(half, F.lit("c1")).otherwise(F.col("service_details_container_number")))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        events = billing_events(replace(src, ledger=ledger), normalise_movements(src.movements), only_moved=False)
+        per = sorted(r["count"] for r in events.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(per) >= 4 and per[-1] <= 2 * per[len(per) // 2]
