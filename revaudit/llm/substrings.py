@@ -47,15 +47,10 @@ RUN_BYTES = 1 << 20
 _DEPTH = 128
 
 
-def window_anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor of the window at every place, and whether a window of LENGTH bytes begins there."""
-    n = len(raw)
-    left = np.repeat(offs[1:], np.diff(offs)) - np.arange(n)
-    valid = left >= LENGTH
-    if n < LENGTH:
-        return np.zeros(n, np.uint64), np.zeros(n, bool)
+def _gram_hashes(raw: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes at every place (the last ones end beyond the array and are left out)."""
     eight = tx.eight_bytes(raw)
-    grams = n - GRAM + 1
+    grams = max(0, len(raw) - GRAM + 1)
     h = eight[:grams] * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h += eight[8:8 + grams]
@@ -63,16 +58,31 @@ def window_anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nd
     h ^= h >> np.uint64(32)
     h += eight[16:16 + grams]
     h *= np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
-    least, width, want = h, 1, LENGTH - GRAM + 1
-    while 2 * width <= want:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < want:
-        least = np.minimum(least[:len(least) - (want - width)], least[want - width:])
+    return h ^ (h >> np.uint64(31))
+
+
+def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
+    """best (minimum or maximum) of every ``width`` consecutive values."""
+    out, so_far = values, 1
+    while 2 * so_far <= width:
+        out = best(out[:-so_far], out[so_far:])
+        so_far *= 2
+    more = width - so_far
+    return best(out[:len(out) - more], out[more:]) if more else out
+
+
+def window_anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor of the window at every place, whether a window of LENGTH bytes begins there, and all gram hashes."""
+    n = len(raw)
+    left = np.repeat(offs[1:], np.diff(offs)) - np.arange(n)
+    valid = left >= LENGTH
     out = np.zeros(n, np.uint64)
+    if n < LENGTH:
+        return out, valid, np.zeros(0, np.uint64)
+    h = _gram_hashes(raw)
+    least = _sliding(h, LENGTH - GRAM + 1, np.minimum)
     out[:len(least)] = least
-    return out, valid
+    return out, valid, h
 
 
 def _runs(mask: np.ndarray, key: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +122,19 @@ class Shard:
         first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0)) if len(by) else np.zeros(0, np.int64)
         self.sub = ((p >> 20) << 20) + (np.arange(len(by)) - first)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors, whether each occurs more than once here, for ``pack``."""
-        anchor, valid = window_anchors(self.raw, self.offs)
-        begin, end = _runs(valid, anchor)
-        # A run longer than one gram's windows holds the gram twice.
-        value, count = np.unique(np.concatenate([anchor[begin], anchor[begin[end - begin > LENGTH - GRAM + 1]]]), return_counts=True)
-        return value, count > 1, anchor
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct anchors of the shard's windows, and whether each lies at several places.
+
+        A gram is an anchor's place if it is the least of some window; in repetitive text a window, and
+        a run of windows with one anchor, may hold several places of it.
+        """
+        anchor, valid, h = window_anchors(self.raw, self.offs)
+        if not valid.any():
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        width = LENGTH - GRAM + 1
+        padded = np.concatenate([np.zeros(width - 1, np.uint64), np.where(valid, anchor, np.uint64(0))[:len(h)]])
+        value, count = np.unique(h[h == _sliding(padded, width, np.maximum)], return_counts=True)
+        return value, count > 1
 
 
 def _packed(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.Table:
@@ -132,7 +148,7 @@ def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
 
 def shard_anchor_table(table: pa.Table, buckets: int) -> pa.Table:
     shard = Shard(table)
-    value, twice, _ = shard.anchors()
+    value, twice = shard.anchors()
     value = (value & ~np.uint64(1)) | twice.astype(np.uint64)  # the lowest bit tells of a second occurrence
     bucket = _bucket(value >> np.uint64(1), buckets)
     by = np.argsort(bucket, kind="stable")
@@ -182,7 +198,7 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
     shard = Shard(table)
     blob, _ = tx.buffers(repeated.column("anchors")) if repeated.num_rows else (np.zeros(0, np.uint8), None)
     known = np.unique(np.frombuffer(blob.tobytes(), "<u8"))
-    anchor, valid = window_anchors(shard.raw, shard.offs)
+    anchor, valid, _ = window_anchors(shard.raw, shard.offs)
     begin, end = _runs(valid, anchor)
     again = _among(anchor[begin] >> np.uint64(1), known)
     begin, end = begin[again], end[again]

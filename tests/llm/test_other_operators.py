@@ -59,6 +59,8 @@ def repeat_rows():
             parts.append("ab" * rng.randrange(40, 120))
         rng.shuffle(parts)
         rows.append((i * 2, "".join(parts)))
+    for i in range(40):  # repetitions of a short word, a little longer than a window
+        rows.append((2001 + 2 * i, (word() + " ") * rng.randrange(1, 25) + (word() + " ") * rng.randrange(1, 30)))
     rows += [(1, rows[5][1]), (3, rows[5][1]), (5, None), (7, ""), (9, "x" * 99), (11, "x" * 100), (13, "x" * 101), (15, "y" * 350)]
     return rows
 
