@@ -126,7 +126,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, url
     lengths = [len(r[2]) for r in rules]
     candidates = rule_keys(F.col("host"), F.col("path"), lengths)
     universe = stored(parts.select(F.explode(candidates).alias("key")).distinct(), "url-keys")
-    listed = spark.createDataFrame([(h + p, action) for action, h, p in rules], "key string, action string")
+    listed = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h + p).alias("key"), F.lit(action).alias("action")) for action, h, p in rules])))
     any_rule = Cascade(spark, listed.select("key").distinct(), universe)
     hits = stored(universe.where(any_rule.contains(F.col("key"))), "url-hits")
     blocking = Cascade(spark, listed.where("action = 'block'").select("key").distinct(), hits)
