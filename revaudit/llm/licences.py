@@ -4,7 +4,7 @@ A paragraph is a line of text.  Its features are the lower-cased word one-, two-
 training gave a weight; a sparse multinomial logistic regression (proximal gradient, L1) tells
 the licence families, ``unknown`` (licence terms of no known family) and ``none`` apart.  It is trained
 here, on variations of TEMPLATES and UNKNOWN and on ``NEGATIVES`` paragraphs of the corpus without licence
-words (a bounded sample, by least hash).  Its probabilities are calibrated by a temperature
+words (a bounded sample, by hash).  Its probabilities are calibrated by a temperature
 fitted on variations that training did not see.  A family that wins with ``LEAST`` or more is confirmed if the paragraph
 holds at least ``CONFIRM`` of a template's word pairs; a family that isn't confirmed, and ``unknown``, count as unknown if the paragraph has a licence word (CUES), else not at all.
 
@@ -244,8 +244,14 @@ SCAN = ("n_paragraphs long, families array<string>, n_unknown long, best double,
 
 
 def negatives(docs: DataFrame, n: int = NEGATIVES) -> list[str]:
-    """At most n paragraphs of the corpus without licence words: the least by hash."""
-    line = docs.select(F.explode(F.split("text", "[\\r\\n]+")).alias("line"))
+    """At most n paragraphs without licence words from about n documents, both picked by hash.
+
+    The documents are picked before their lines are looked at, so what reaches the driver does not
+    grow with the corpus.
+    """
+    share = min(1.0, n / max(1, docs.count()))
+    picked = F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 50)) < int(share * (1 << 50))
+    line = docs.where(picked).select(F.explode(F.split("text", "[\\r\\n]+")).alias("line"))
     line = line.where((F.length("line") > 0) & (F.length("line") <= NEGATIVE_CHARS) & ~F.col("line").rlike(CUES))
     return [r.line for r in line.orderBy(F.xxhash64("line", F.lit(SEED)), "line").limit(n).collect()]
 
