@@ -24,6 +24,7 @@ no hits.  Repeated rows and equal doc_ids are judged each for itself.  Other col
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -243,17 +244,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
         return parts[0]
     # Several blocks: number the rows once, so that equal rows stay apart, and join the blocks' findings.
     rows = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "decontamination")
-    found = None
-    for items in item_blocks(benchmark, block_words, window):
-        part = find_hits(rows, items, ("row", "doc_id"))
-        found = part if found is None else found.unionByName(part)
+    found = [find_hits(rows, items, ("row", "doc_id")) for items in item_blocks(benchmark, block_words, window)]
+    return united(found, "row", ["doc_id"]).drop("row")
+
+
+def united(parts: list[DataFrame], row: str, keep: Iterable[str] = ()) -> DataFrame:
+    """The row number, the kept columns and HITS of each row over the findings of several blocks of items."""
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
     marks = F.flatten(F.collect_list(F.arrays_zip("hit_starts", "hit_ends")))
     best = F.max_by(F.struct("longest", "longest_item", "longest_at", "longest_item_at"),
                     F.struct("longest", -F.coalesce("longest_at", F.lit(0))))
-    joined = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-                                      F.array_sort(marks).alias("m"),
-                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-                                      best.alias("best"))
+    joined = found.groupBy(row).agg(*[F.first(c).alias(c) for c in keep], F.first("n_words").alias("n_words"),
+                                    F.array_sort(marks).alias("m"),
+                                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+                                    best.alias("best"))
     union = F.aggregate("m", F.array().cast("array<struct<hit_starts:int,hit_ends:int>>"), lambda acc, x: F.when(
         (F.size(acc) > 0) & (x["hit_starts"] <= F.get(acc, F.size(acc) - 1)["hit_ends"]),
         F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
@@ -262,7 +268,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
         .otherwise(F.concat(acc, F.array(x))))
     joined = joined.withColumn("m", union)
     hit = F.aggregate("m", F.lit(0).cast("long"), lambda acc, x: acc + (x["hit_ends"] - x["hit_starts"]))
-    return joined.select("doc_id", "n_words", hit.alias("n_hit"), F.col("m.hit_starts").alias("hit_starts"),
+    return joined.select(row, *keep, "n_words", hit.alias("n_hit"), F.col("m.hit_starts").alias("hit_starts"),
                          F.col("m.hit_ends").alias("hit_ends"), "items", "best.*")
 
 
@@ -270,18 +276,31 @@ def contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * ONE_IN >= F.col("n_words"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their columns: a filter inside each task."""
-    out = docs
-    for items in item_blocks(benchmark):
-        def task(batches, items=items):
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS,
+                      window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns.
+
+    One block of items: a filter inside each task.  Several: a row's hits are united over all blocks before it is judged.
+    """
+    blocks = item_blocks(benchmark, block_words, window)
+    first = next(blocks, None)
+    if first is None:
+        return docs
+    second = next(blocks, None)
+    if second is None:
+        def task(batches):
             for batch in batches:
                 for part in tx.slices(batch, "text"):
-                    found = shard_hits(part.column("text"), items)
+                    found = shard_hits(part.column("text"), first)
                     hit, n = np.array(found["n_hit"]), np.array(found["n_words"])
                     yield part.filter(pa.array(~((hit > 0) & (hit * ONE_IN >= n))))
-        out = out.mapInArrow(task, docs.schema)
-    return out
+        return docs.mapInArrow(task, docs.schema)
+    row = "row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination")
+    found = [find_hits(rows, items, (row,)).where("n_hit > 0") for items in itertools.chain([first, second], blocks)]
+    return rows.join(united(found, row).where(contaminated()).select(row), row, "left_anti").drop(row)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

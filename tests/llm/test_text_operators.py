@@ -251,6 +251,19 @@ def test_decontamination_of_nothing(spark, frame):
     assert decontamination.drop_contaminated(frame([(1, "a b")]), none).count() == 1
 
 
+def test_hits_of_several_blocks_count_together(frame):
+    rng = random.Random(31)
+    one, other = (" ".join(f"{name}{k}" for k in range(39)) for name in "xy")
+    fill = [prose(rng, n) for n in (400, 300, 222)]
+    text = " ".join([fill[0], one, fill[1], other, fill[2]])        # 1,000 words, 39 hit by each item
+    benchmark = frame([(1, one), (2, other)]).selectExpr("cast(doc_id as string) item_id", "text")
+    docs = frame([(1, text), (2, " ".join([*fill, one])), (None, text)]).withColumnRenamed("n_chars", "row")
+    for block in (1, 10, 2_000_000):
+        kept = decontamination.drop_contaminated(docs, benchmark, block_words=block)
+        assert kept.columns == docs.columns
+        assert [r.doc_id for r in kept.collect()] == [2]
+
+
 # --- licences -----------------------------------------------------------------
 
 def test_licences_are_found_and_prose_is_not(frame):
