@@ -8,6 +8,11 @@ words (a bounded sample, by hash).  Its probabilities are calibrated by a temper
 fitted on variations that training did not see.  A family that wins with ``LEAST`` or more is confirmed if the paragraph
 holds at least ``CONFIRM`` of a template's word pairs; a family that isn't confirmed, and ``unknown``, count as unknown if the paragraph has a licence word (CUES), else not at all.
 
+A notice may be wrapped over neighbouring lines; a line without words (blank, or comment marks alone) ends it.  Where
+the words of such lines hold ``CONFIRM`` of a template's pairs within ``SPREAD`` times its length, over two lines or more, that
+stretch is scored like a paragraph; of overlapping ones the template held best counts.  Its finding spans the
+lines it touches, has the first one's number, and takes the place of their findings that are unknown or rest on the same words.
+
 Every paragraph of every whole text is scored.  One without any weighted gram has the bias as its score, so only
 paragraphs with hits are computed; that is exact.  The model is a few thousand weights.
 
@@ -17,6 +22,7 @@ gives no rows (and trains without corpus negatives).  Other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import numpy as np
@@ -72,6 +78,8 @@ NEGATIVE_CHARS = 400
 VARIANTS = 24
 LEAST = 0.5
 CONFIRM = 0.6
+#: A wrapped notice lies within so many times the template's word pairs.
+SPREAD = 2
 L1 = 1e-4
 NONE_WEIGHT = 6.0
 ROUNDS = 150
@@ -134,6 +142,8 @@ class LicenceModel:
         self._fit(texts, np.array(labels))
         self._calibrate(spare, np.array(spare_labels))
         self.pairs = {c: [self._pairs(t) for t in own] for c, own in TEMPLATES.items()}
+        self.templates = [(c, np.array(sorted(t), np.uint64)) for c, own in self.pairs.items() for t in own]
+        self.all_pairs = np.unique(np.concatenate([t for _, t in self.templates]))
 
     def _fit(self, texts: list[str], labels: np.ndarray) -> None:
         hashes, owner = grams(*_words(texts))
@@ -195,9 +205,71 @@ class LicenceModel:
         best = p.argmax(axis=1)
         return best, p[np.arange(n), best]
 
-    def confirms(self, family: str, value: str) -> bool:
+    def share(self, family: str, value: str) -> float:
+        """The largest part of a template's word pairs that the text holds."""
         own = self._pairs(value)
-        return any(len(own & t) >= CONFIRM * len(t) for t in self.pairs[family])
+        return max(len(own & t) / len(t) for t in self.pairs[family])
+
+    def confirms(self, family: str, value: str) -> bool:
+        return self.share(family, value) >= CONFIRM
+
+
+def wrapped_notices(words: np.ndarray, line: np.ndarray, block: np.ndarray, model: LicenceModel) -> tuple[list, set]:
+    """(family, probability, share, first word, last word) of the notices that go over several lines.
+
+    Also (family, line) of what better stretches have ruled out.  ``line`` and ``block`` (neighbouring lines of
+    one text) are given for each word.
+    """
+    got = tx.gram_hashes(words, 2)
+    bitmap = np.zeros(1 << 18, bool)
+    bitmap[(model.all_pairs & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
+    place = np.flatnonzero(bitmap[(got & np.uint64((1 << 18) - 1)).astype(np.int64)])
+    place = place[block[place] == block[place + 1]]
+    at = np.minimum(np.searchsorted(model.all_pairs, got[place]), len(model.all_pairs) - 1)
+    place = place[model.all_pairs[at] == got[place]]
+    pair = got[place]
+    some, several = [], set()
+    for family, own in model.templates:
+        n = len(own)
+        need = int(np.ceil(CONFIRM * n))
+        near = np.minimum(np.searchsorted(own, pair), n - 1)
+        p = place[own[near] == pair]
+        if len(p) < need:
+            continue
+        # Where so many of its pairs follow closely; pairs may repeat, so each such place is counted out below.
+        first, last = p[:len(p) - need + 1], p[need - 1:]
+        close = np.flatnonzero((last - first < SPREAD * n) & (block[first] == block[last]))
+        end = np.minimum(np.searchsorted(p, first[close] + SPREAD * n), np.searchsorted(block[p], block[first[close]], side="right")) - 1
+        over = line[first[close]] != line[p[end] + 1]
+        several.update(block[first[close][over]].tolist())
+        some.append((family, n, need, p, close, end))
+    if not several:
+        return [], set()
+    found = []
+    for family, n, need, p, close, ends in some:
+        here = np.isin(block[p[close]], list(several))
+        for k, end in zip(close[here].tolist(), ends[here].tolist()):
+            values, nth = np.unique(got[p[k:end + 1]], return_index=True)
+            if len(values) >= need:
+                found.append((family, len(values) / n, n, int(p[k]), int(p[k + nth.max()]) + 1))
+    # Of overlapping stretches the best one: the largest share, then the longest template, then the shortest stretch.
+    out = []
+    taken: list[tuple[int, int]] = []
+    touched, kept = set(), set()
+    for family, share, n, a, b in sorted(found, key=lambda x: (-x[1], -x[2], x[4] - x[3], x[3])):
+        own = {(family, k) for k in range(int(line[a]), int(line[b]) + 1)}
+        touched |= own
+        k = bisect.bisect_left(taken, (a, b))
+        if (k and taken[k - 1][1] >= a) or (k < len(taken) and taken[k][0] <= b):
+            continue
+        taken.insert(k, (a, b))
+        kept |= own
+        if line[a] == line[b]:
+            continue
+        best, prob = model.judge(*grams(words[a:b + 1], np.zeros(b + 1 - a, np.int64)), 1)
+        if model.classes[best[0]] == family and prob[0] >= LEAST:
+            out.append((family, float(prob[0]), share, a, b))
+    return sorted(out, key=lambda x: x[3]), touched - kept
 
 
 def scan_slice(column: pa.Array, model: LicenceModel) -> dict[str, list]:
@@ -220,24 +292,53 @@ def scan_slice(column: pa.Array, model: LicenceModel) -> dict[str, list]:
     if not len(kinds):
         return out
     best, prob = model.judge(hashes, of, len(kinds))
+    findings: dict[int, list[tuple]] = {}              # by first line: last line, family, probability, share
     for k in np.flatnonzero(best != len(model.classes) - 1).tolist():
         par = int(kinds[k])
-        doc = int(np.searchsorted(offs, p_start[par], side="right")) - 1
         name, p = model.classes[best[k]], float(prob[k])
-        line = raw[p_start[par]:p_end[par]].tobytes().decode()
-        sure = p >= LEAST and name != "unknown" and model.confirms(name, line)
-        if sure:
-            out["families"][doc].append(name)
-            out["best"][doc] = max(out["best"][doc], p)
-        elif p >= LEAST and _CUE.search(line):
-            out["n_unknown"][doc] += 1
-        else:
+        if p < LEAST:
             continue
-        out["findings"][doc].append({"paragraph": par - int(p_at[doc]), "start_byte": int(p_start[par] - offs[doc]),
-                                     "end_byte": int(p_end[par] - offs[doc]), "family": name if sure else "unknown", "probability": p})
+        line = raw[p_start[par]:p_end[par]].tobytes().decode()
+        share = model.share(name, line) if name != "unknown" else 0.0
+        if share >= CONFIRM:
+            findings[par] = [(par, name, p, share)]
+        elif _CUE.search(line):
+            findings[par] = [(par, "unknown", p, 0.0)]
+    notices, lost = wrapped_notices(words, owner, _blocks(raw, offs, p_start, p_end, owner), model)
+    for name, p, share, a, b in notices:
+        lines = range(int(owner[a]), int(owner[b]) + 1)
+        if any(f[1] == name and f[3] >= share for k in lines for f in findings.get(k, ())):
+            continue                                   # a line of it says so already
+        for k in lines:
+            if k in findings:
+                findings[k] = [f for f in findings[k] if f[1] not in ("unknown", name) and (f[1], k) not in lost]
+        findings.setdefault(lines[0], []).append((lines[-1], name, p, share))
+    for par, some in sorted(findings.items()):
+        doc = int(np.searchsorted(offs, p_start[par], side="right")) - 1
+        for last, name, p, _ in some:
+            if name == "unknown":
+                out["n_unknown"][doc] += 1
+            else:
+                out["families"][doc].append(name)
+                out["best"][doc] = max(out["best"][doc], p)
+            out["findings"][doc].append({"paragraph": par - int(p_at[doc]), "start_byte": int(p_start[par] - offs[doc]),
+                                         "end_byte": int(p_end[last] - offs[doc]), "family": name, "probability": p})
     return out
 
 
+def _blocks(raw: np.ndarray, offs: np.ndarray, p_start: np.ndarray, p_end: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For each word the number of its block: neighbouring lines of one text, all with words."""
+    new = np.ones(len(p_start), bool)
+    for end_of_line in (0x0A, 0x0D):
+        ends = np.concatenate([[0], np.cumsum(raw == end_of_line)])
+        new[1:] &= ends[p_start[1:]] - ends[p_end[:-1]] <= 1
+    text = np.searchsorted(offs, p_start, side="right")
+    filled = np.zeros(len(p_start), bool)
+    filled[owner] = True
+    new[1:] = ~new[1:] | (text[1:] != text[:-1]) | ~filled[:-1] | ~filled[1:]
+    return np.cumsum(new)[owner]
+
+
 _FINDING = pa.struct([("paragraph", pa.int32()), ("start_byte", pa.int64()), ("end_byte", pa.int64()), ("family", pa.string()), ("probability", pa.float64())])
 SCAN = ("n_paragraphs long, families array<string>, n_unknown long, best double, "
         "findings array<struct<paragraph:int,start_byte:bigint,end_byte:bigint,family:string,probability:double>>")

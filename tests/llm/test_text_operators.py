@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -283,3 +284,35 @@ def test_licences_are_found_and_prose_is_not(frame):
     assert rows[0][1].encode()[f.start_byte:f.end_byte].decode() == notices[1][1] and f.paragraph == 1
     assert got[300].n_unknown == 1 and got[301].n_paragraphs == got[302].n_paragraphs == got[303].n_paragraphs == 0
     assert licences.scan_licences(frame([])).count() == 0
+
+
+def test_wrapped_licences_are_found(frame):
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met:")
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+    gpl3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+            "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    gpl2 = gpl3.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")
+    lgpl = gpl2.replace("GNU General", "GNU Lesser General")
+    rng = random.Random(9)
+    rows, expected = [], {}
+    for name, notice in (("BSD", bsd), ("ISC", isc), ("GPL-3.0", gpl3), ("GPL-2.0", gpl2), ("LGPL", lgpl)):
+        for width in (50, 70, 78):
+            for mark, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\r")):
+                lines = [mark + x for x in textwrap.wrap(notice, width)]
+                above = [prose(rng, 9) for _ in range(rng.randrange(3))]
+                rows.append((len(rows), end.join([*above, *lines, prose(rng, 9)])))
+                expected[rows[-1][0]] = (name, rows[-1][1], len(above), len(above) + len(lines) + 1)
+    both = textwrap.wrap("Released under the MIT License. " + bsd, 60)
+    rows.append((len(rows), "\n".join(both)))
+    apart = [f"{prose(rng, 5)} {x}" for x in textwrap.wrap(bsd, 40)]
+    rows.append((len(rows), "\n\n".join(apart)))       # blank lines between: no one notice
+    got = {r.doc_id: r for r in licences.scan_licences(frame(rows)).collect()}
+    for doc, (name, text, first, n) in expected.items():
+        r = got[doc]
+        assert (r.families, r.n_paragraphs) == ([name], n), (text, r)
+        finding = next(f for f in r.findings if f.family == name)
+        assert finding.paragraph - first in (0, 1) and finding.end_byte <= len(text)
+    assert got[len(rows) - 2].families == ["BSD", "MIT"]
+    assert got[len(rows) - 1].families == []
