@@ -13,7 +13,9 @@ doc_id, or earlier in the same one.  Strings are judged on the input.
 3. Merge.  The first windows go, as short pieces of text, to the bucket of their anchor.  There equal
    pieces are folded, and what is left is cut into runs in document order; a run is suffix-sorted, and
    each of its windows is looked up by binary search in the sorted windows of the runs before.  What is found
-   there is marked, the rest joins them.  An anchor of very many pieces has one piece of each shard and text at most.
+   there is marked, the rest joins them.  An anchor that lies at ``HOT_PLACES`` places or more (a common line with another
+   text around it each time; places alike in one shard count once) sends no pieces: each of its windows goes by itself, as
+   a 128-bit hash, to the bucket of that hash, where all but the first of equal ones are marked.  So one bucket never has to hold all of an anchor.
 4. The marks return to the shards, which cut the texts.
 
 Documents are shuffled once, by shard; steps 1, 2 and 4 read that same exchange.
@@ -44,7 +46,9 @@ SHARD_BYTES = 3 << 20
 BUCKET_BYTES = 24 << 20
 MERGE_BYTES = 4 << 20
 RUN_BYTES = 1 << 20
+HOT_PLACES = 4096
 _DEPTH = 128
+_HOT = np.uint64(1 << 63)
 
 
 def _gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -122,19 +126,32 @@ class Shard:
         first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0)) if len(by) else np.zeros(0, np.int64)
         self.sub = ((p >> 20) << 20) + (np.arange(len(by)) - first)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct anchors of the shard's windows, and whether each lies at several places.
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchors of the shard's windows, whether each lies at several places, and with how many texts around it.
 
         A gram is an anchor's place if it is the least of some window; in repetitive text a window, and
         a run of windows with one anchor, may hold several places of it.
         """
         anchor, valid, h = window_anchors(self.raw, self.offs)
         if not valid.any():
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
+            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
         width = LENGTH - GRAM + 1
         padded = np.concatenate([np.zeros(width - 1, np.uint64), np.where(valid, anchor, np.uint64(0))[:len(h)]])
-        value, count = np.unique(h[h == _sliding(padded, width, np.maximum)], return_counts=True)
-        return value, count > 1
+        place = np.flatnonzero(h == _sliding(padded, width, np.maximum))
+        value, of, count = np.unique(h[place], return_inverse=True, return_counts=True)
+        texts = np.ones(len(value), np.int64)
+        several = np.flatnonzero(count[of] > 1)
+        if len(several):
+            at = place[several]
+            around = np.zeros(len(at), np.uint64)
+            for k in (GRAM - LENGTH, -2 * GRAM, -GRAM, GRAM, 2 * GRAM, LENGTH - GRAM):
+                around = tx.mix(around + h[np.clip(at + k, 0, len(h) - 1)])
+            by = np.lexsort((around, of[several]))
+            kind, around = of[several][by], around[by]
+            new = np.ones(len(by), bool)
+            new[1:] = (kind[1:] != kind[:-1]) | (around[1:] != around[:-1])
+            texts = np.maximum(texts, np.bincount(kind[new], minlength=len(value)))
+        return value, count > 1, texts
 
 
 def _packed(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.Table:
@@ -148,18 +165,24 @@ def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
 
 def shard_anchor_table(table: pa.Table, buckets: int) -> pa.Table:
     shard = Shard(table)
-    value, twice = shard.anchors()
+    value, twice, texts = shard.anchors()
     value = (value & ~np.uint64(1)) | twice.astype(np.uint64)  # the lowest bit tells of a second occurrence
     bucket = _bucket(value >> np.uint64(1), buckets)
     by = np.argsort(bucket, kind="stable")
     edge = np.searchsorted(bucket[by], np.arange(buckets + 1))
     s = table.column("shard")[0].as_py()
-    rows = [(b, s, value[by[edge[b]:edge[b + 1]]].tobytes()) for b in np.unique(bucket).tolist()]
-    return _packed(rows, ["bucket", "shard", "anchors"], [pa.int64(), pa.int64(), pa.binary()])
+    rows = []
+    for b in np.unique(bucket).tolist():
+        k = by[edge[b]:edge[b + 1]]
+        rows.append((b, s, value[k].tobytes(), texts[k][twice[k]].astype("<i4").tobytes()))  # one text where not twice
+    return _packed(rows, ["bucket", "shard", "anchors", "texts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
 
-def repeated_anchors(table: pa.Table) -> pa.Table:
-    """Of one bucket's anchors from all shards, those that occur again, back to each shard that has them."""
+def repeated_anchors(table: pa.Table, hot_places: int = HOT_PLACES) -> pa.Table:
+    """Of one bucket's anchors from all shards, those that occur again, back to each shard that has them.
+
+    The highest bit tells of a hot one.
+    """
     shards = table.column("shard").to_numpy()
     raw, offs = tx.buffers(table.column("anchors"))
     value = np.frombuffer(raw.tobytes(), "<u8")
@@ -168,8 +191,11 @@ def repeated_anchors(table: pa.Table) -> pa.Table:
     kinds, of, count = np.unique(key, return_inverse=True, return_counts=True)
     again = count > 1
     again[of[twice]] = True
+    texts = np.ones(len(key), np.int64)
+    texts[twice] = _longs(table.column("texts"), "<i4")
+    hot = np.bincount(of, texts, len(kinds)) >= hot_places
     keep = again[of]
-    owner, key = owner[keep], key[keep]
+    owner, key = owner[keep], np.where(hot[of], key | _HOT, key)[keep]
     by = np.argsort(owner, kind="stable")
     edge = np.searchsorted(owner[by], np.arange(len(shards) + 1))
     rows = [(int(shards[k]), key[by[edge[k]:edge[k + 1]]].tobytes()) for k in np.unique(owner).tolist()]
@@ -186,8 +212,8 @@ def sorted_windows(raw: np.ndarray) -> np.ndarray:
     return number
 
 
-PIECES = ["bucket", "shard", "anchor", "doc", "sub", "start", "windows", "size", "text"]
-_PIECE_KINDS = [pa.int64(), pa.int64()] + [pa.binary()] * 7
+PIECES = ["bucket", "shard", "anchor", "doc", "sub", "start", "windows", "size", "text", "key"]
+_PIECE_KINDS = [pa.int64(), pa.int64()] + [pa.binary()] * 8
 MARKS = ["shard", "doc", "sub", "begin", "end"]
 _MARK_KINDS = [pa.int64()] + [pa.binary()] * 4
 
@@ -197,7 +223,8 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
     names, kinds = PIECES, _PIECE_KINDS
     shard = Shard(table)
     blob, _ = tx.buffers(repeated.column("anchors")) if repeated.num_rows else (np.zeros(0, np.uint8), None)
-    known = np.unique(np.frombuffer(blob.tobytes(), "<u8"))
+    known = np.frombuffer(blob.tobytes(), "<u8")
+    hot, known = np.unique(known[known >= _HOT] ^ _HOT), np.unique(known & ~_HOT)
     anchor, valid, _ = window_anchors(shard.raw, shard.offs)
     begin, end = _runs(valid, anchor)
     again = _among(anchor[begin] >> np.uint64(1), known)
@@ -224,10 +251,17 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
     lo, hi = _runs(marked, _doc_numbers(shard))
     d = np.searchsorted(shard.offs, lo, side="right") - 1
     rows.append((s % merge_buckets, s, b"", shard.doc[d].tobytes(), shard.sub[d].tobytes(), (lo - shard.offs[d]).tobytes(),
-                 (hi - 1 + LENGTH - shard.offs[d]).tobytes(), b"", None))
+                 (hi - 1 + LENGTH - shard.offs[d]).tobytes(), b"", None, None))
     # Pieces: runs of first windows of one anchor.
     fresh = np.zeros(len(shard.raw), bool)
     fresh[window[~repeat]] = True
+    hot_run = _among(anchor[begin] >> np.uint64(1), hot)
+    if hot_run.any():
+        alone = np.zeros(len(shard.raw), bool)
+        owner, inside = tx.ragged((end - begin)[hot_run])
+        alone[begin[hot_run][owner] + inside] = True
+        rows += _hot_rows(shard, s, np.flatnonzero(fresh & alone), merge_buckets)
+        fresh &= ~alone
     lo, hi = _runs(fresh, anchor)
     # Runs of one anchor never join two documents: a document's last LENGTH - 1 places begin no window.
     d = np.searchsorted(shard.offs, lo, side="right") - 1
@@ -240,10 +274,64 @@ def shard_pieces(table: pa.Table, repeated: pa.Table, merge_buckets: int) -> pa.
         owner, inside = tx.ragged(size[k])
         rows.append((b, s, anchor[lo[k]].tobytes(), shard.doc[d[k]].tobytes(), shard.sub[d[k]].tobytes(),
                      (lo[k] - shard.offs[d[k]]).tobytes(), (hi - lo)[k].tobytes(), size[k].tobytes(),
-                     shard.raw[lo[k][owner] + inside].tobytes()))
+                     shard.raw[lo[k][owner] + inside].tobytes(), None))
     return _packed(rows, names, kinds)
 
 
+def _window_keys(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """128-bit hash (two columns) of the LENGTH bytes at each place."""
+    eight = tx.eight_bytes(raw)
+    out = np.zeros((len(place), 2), np.uint64)
+    for k in list(range(0, LENGTH - 7, 8)) + ([LENGTH - 8] if LENGTH % 8 else []):
+        part = eight[place + k]
+        out[:, 0] = tx.mix(out[:, 0] * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(1))
+        out[:, 1] = tx.mix((out[:, 1] ^ part) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(2))
+    return out
+
+
+def _hot_rows(shard: Shard, s: int, place: np.ndarray, merge_buckets: int) -> list[tuple]:
+    """Windows of hot anchors, each to the bucket of its hash; these buckets follow those of the pieces."""
+    if not len(place):
+        return []
+    key = _window_keys(shard.raw, place)
+    d = np.searchsorted(shard.offs, place, side="right") - 1
+    bucket = _bucket(key[:, 0], merge_buckets)
+    by = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[by], np.arange(merge_buckets + 1))
+    rows = []
+    for b in np.unique(bucket).tolist():
+        k = by[edge[b]:edge[b + 1]]
+        rows.append((merge_buckets + b, s, None, shard.doc[d[k]].tobytes(), shard.sub[d[k]].tobytes(),
+                     (place[k] - shard.offs[d[k]]).tobytes(), None, None, None, key[k].tobytes()))
+    return rows
+
+
+def merge_hot(table: pa.Table) -> list[tuple]:
+    """Marks of all but the first of equal windows, in rows of MARKS."""
+    shards = table.column("shard").to_numpy()
+    key = _longs(table.column("key"), "<u8").reshape(-1, 2)
+    doc, sub, start = (_longs(table.column(c)) for c in ("doc", "sub", "start"))
+    shard = np.repeat(shards, [len(x.as_py()) // 8 for x in table.column("start")])
+    by = np.lexsort((start, sub, doc, key[:, 1], key[:, 0]))
+    gone = by[1:][(key[by][1:] == key[by][:-1]).all(axis=1)]
+    gone = gone[np.lexsort((start[gone], sub[gone], doc[gone], shard[gone]))]
+    if not len(gone):
+        return []
+    # Windows that follow each other become one mark.
+    new = np.ones(len(gone), bool)
+    for column, step in ((shard, 0), (doc, 0), (sub, 0), (start, 1)):
+        new[1:] &= column[gone][1:] == column[gone][:-1] + step
+    new[1:] = ~new[1:]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(gone)) - 1
+    a, b = gone[first], gone[last]
+    rows = []
+    for k in np.split(np.arange(len(a)), np.flatnonzero(np.diff(shard[a])) + 1):
+        rows.append((int(shard[a[k[0]]]), doc[a[k]].tobytes(), sub[a[k]].tobytes(), start[a[k]].tobytes(),
+                     (start[b[k]] + LENGTH).tobytes()))
+    return rows
+
+
 def _doc_numbers(shard: Shard) -> np.ndarray:
     return np.repeat(np.arange(len(shard.doc)), np.diff(shard.offs))
 
@@ -293,7 +381,9 @@ class Windows:
 
 def merge_bucket(table: pa.Table, run_bytes: int = RUN_BYTES) -> pa.Table:
     """Step 3: marks of one bucket's pieces, and the shards' own marks passed on."""
-    rows = []
+    hot = pc.is_valid(table.column("key"))
+    rows = merge_hot(table.filter(hot)) if pc.any(hot).as_py() else []
+    table = table.filter(pc.invert(hot))
     own = table.filter(pc.is_null(table.column("text")))
     for r in own.to_pylist():
         rows.append((r["shard"], r["doc"], r["sub"], r["start"], r["windows"]))
@@ -380,7 +470,7 @@ def cut_texts(table: pa.Table, marks: pa.Table, with_text: bool) -> pa.Table:
 
 
 def without_repeats(docs: DataFrame, with_text: bool = True, shard_bytes: int = SHARD_BYTES,
-                    bucket_bytes: int = BUCKET_BYTES, merge_bytes: int = MERGE_BYTES) -> DataFrame:
+                    bucket_bytes: int = BUCKET_BYTES, merge_bytes: int = MERGE_BYTES, hot_places: int = HOT_PLACES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (``with_text``) kept: the bytes left, for each row."""
     total = text_bytes(docs)
     shards = max(1, -(-total // shard_bytes))
@@ -390,11 +480,11 @@ def without_repeats(docs: DataFrame, with_text: bool = True, shard_bytes: int =
                          F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("doc"),
                          F.xxhash64(value).alias("print"))
     source = source.withColumn("shard", F.pmod(F.xxhash64("doc", "print"), F.lit(shards))).repartition("shard")
-    anchors = source.groupBy("shard").applyInArrow(lambda t: shard_anchor_table(t, buckets), "bucket long, shard long, anchors binary")
-    repeated = anchors.groupBy("bucket").applyInArrow(repeated_anchors, "shard long, anchors binary")
+    anchors = source.groupBy("shard").applyInArrow(lambda t: shard_anchor_table(t, buckets), "bucket long, shard long, anchors binary, texts binary")
+    repeated = anchors.groupBy("bucket").applyInArrow(lambda t: repeated_anchors(t, hot_places), "shard long, anchors binary")
     pieces = source.groupBy("shard").cogroup(repeated.groupBy("shard")).applyInArrow(
         lambda t, r: shard_pieces(t, r, merge_buckets) if t.num_rows else _packed([], PIECES, _PIECE_KINDS),
-        "bucket long, shard long, anchor binary, doc binary, sub binary, start binary, windows binary, size binary, text binary")
+        "bucket long, shard long, anchor binary, doc binary, sub binary, start binary, windows binary, size binary, text binary, key binary")
     marks = pieces.groupBy("bucket").applyInArrow(lambda t: merge_bucket(t), "shard long, doc binary, sub binary, begin binary, end binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     return source.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(

@@ -91,6 +91,43 @@ def test_merge_in_many_runs(monkeypatch):
     assert got == substrings.brute_force(rows)
 
 
+@pytest.mark.parametrize("hot_places", [1, 2, 6])
+def test_repeats_of_hot_anchors_equal_brute_force(spark, hot_places):
+    rows = repeat_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substrings.without_repeats(docs, shard_bytes=2500, bucket_bytes=5000, merge_bytes=700, hot_places=hot_places)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == substrings.brute_force(rows)
+
+
+def test_a_common_line_is_no_one_group():
+    """A line with another text around it each time: its windows are spread over the merge buckets, and are judged right."""
+    import pyarrow as pa
+    rng = random.Random(6)
+    line = "This notice of sixty bytes or so stands in each of the pages."
+    rows = []
+    for i in range(5000):
+        around = ["".join(rng.choice("abcdefghij") for _ in range(90)) for _ in range(2)]
+        rows.append((i, around[0] + line + around[1]))
+    for i in range(0, 5000, 500):
+        rows.append((5000 + i, rows[i][1][40:]))
+    table = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "doc": [r[0] for r in rows],
+                      "print": [0] * len(rows), "shard": [r[0] % 3 for r in rows]})
+    shards = [table.filter(pa.compute.equal(table.column("shard"), s)) for s in range(3)]
+    back = substrings.repeated_anchors(pa.concat_tables([substrings.shard_anchor_table(t, 1) for t in shards]))
+    pieces = pa.concat_tables([substrings.shard_pieces(t, back.filter(pa.compute.equal(back.column("shard"), s)), 50)
+                               for s, t in enumerate(shards)])
+    size = {}
+    for r in pieces.to_pylist():
+        size[r["bucket"]] = size.get(r["bucket"], 0) + len(r["doc"])
+    assert max(size.values()) < 2 * sum(size.values()) / 50
+    marks = pa.concat_tables([substrings.merge_bucket(pieces.filter(pa.compute.equal(pieces.column("bucket"), b))) for b in size])
+    got = {}
+    for s, t in enumerate(shards):
+        for r in substrings.cut_texts(t, marks.filter(pa.compute.equal(marks.column("shard"), s)), False).to_pylist():
+            got[r["doc_id"]] = (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+    assert got == substrings.brute_force(rows)
+
+
 def test_repeats_of_odd_rows(spark):
     rng = random.Random(1)
     text = "".join(rng.choice("abcdefgh ") for _ in range(200))
