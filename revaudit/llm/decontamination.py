@@ -12,8 +12,8 @@ A window is ``window`` consecutive words of an item; a shorter item, not an empt
 window.  A document's word inside any occurrence of a window is hit.
 
 The items are the query set, and it is held against all documents in blocks of at most
-``block_words`` words; that is what is sent to the tasks at once.  With more than one block the
-documents' findings of the blocks are joined by row.
+``block_words`` words; that is what is sent to the tasks at once.  With more than one block each one's
+findings are written before the next is fetched, and joined by row.
 
 Nulls: a null text has no words; items with null text or without words take no part; a null
 item_id is reported as an empty string.  Items with equal ids count once.  Empty tables: no rows, or
@@ -200,7 +200,7 @@ def shard_hits(column: pa.Array, items: Items) -> dict[str, list]:
 
 
 def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, window: int = WINDOW) -> Iterator[Items]:
-    """The items in blocks of about ``block_words`` words: at most one block is on the driver at a time."""
+    """The items in blocks of about ``block_words`` words, one after the other."""
     ids, texts, size = [], [], 0
     for item, value in benchmark.select("item_id", "text").where("text IS NOT NULL").dropDuplicates().toLocalIterator():
         ids.append(item), texts.append(value)
@@ -212,6 +212,19 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, window: in
         yield Items(ids, texts, window)
 
 
+def one_or_more(blocks: Iterator[Items], window: int = WINDOW) -> tuple[Items | None, Iterator[Items]]:
+    """The only block (an empty one for no items), or None and all blocks.  Whoever lets go of each before the next has two on the driver at most."""
+    held = list(itertools.islice(blocks, 2))
+    if len(held) < 2:
+        return held[0] if held else Items([], [], window), iter(())
+
+    def every():
+        while held:
+            yield held.pop(0)
+        yield from blocks
+    return None, every()
+
+
 def find_hits(docs: DataFrame, items: Items, keep: Iterable[str] = ("doc_id",), column: str = "text") -> DataFrame:
     """The kept columns and HITS of each row for one block of items."""
     keep = list(keep)
@@ -236,15 +249,12 @@ _ARROW = {"n_words": pa.int64(), "n_hit": pa.int64(), "hit_starts": pa.list_(pa.
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS,
                   window: int = WINDOW) -> DataFrame:
     """doc_id and HITS of each row of ``docs`` against all items."""
-    spark = docs.sparkSession
-    parts = [find_hits(docs, items) for items in item_blocks(benchmark, block_words, window)]
-    if not parts:
-        parts = [find_hits(docs, Items([], [], window))]
-    if len(parts) == 1:
-        return parts[0]
+    only, blocks = one_or_more(item_blocks(benchmark, block_words, window), window)
+    if only is not None:
+        return find_hits(docs, only)
     # Several blocks: number the rows once, so that equal rows stay apart, and join the blocks' findings.
     rows = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "decontamination")
-    found = [find_hits(rows, items, ("row", "doc_id")) for items in item_blocks(benchmark, block_words, window)]
+    found = [stored(find_hits(rows, items, ("row", "doc_id")), "decontamination-block") for items in blocks]
     return united(found, "row", ["doc_id"]).drop("row")
 
 
@@ -282,16 +292,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int =
 
     One block of items: a filter inside each task.  Several: a row's hits are united over all blocks before it is judged.
     """
-    blocks = item_blocks(benchmark, block_words, window)
-    first = next(blocks, None)
-    if first is None:
-        return docs
-    second = next(blocks, None)
-    if second is None:
+    only, blocks = one_or_more(item_blocks(benchmark, block_words, window), window)
+    if only is not None:
         def task(batches):
             for batch in batches:
                 for part in tx.slices(batch, "text"):
-                    found = shard_hits(part.column("text"), first)
+                    found = shard_hits(part.column("text"), only)
                     hit, n = np.array(found["n_hit"]), np.array(found["n_words"])
                     yield part.filter(pa.array(~((hit > 0) & (hit * ONE_IN >= n))))
         return docs.mapInArrow(task, docs.schema)
@@ -299,7 +305,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int =
     while row in {c.lower() for c in docs.columns}:
         row += "_"
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination")
-    found = [find_hits(rows, items, (row,)).where("n_hit > 0") for items in itertools.chain([first, second], blocks)]
+    found = [stored(find_hits(rows, items, (row,)).where("n_hit > 0"), "decontamination-block") for items in blocks]
     return rows.join(united(found, row).where(contaminated()).select(row), row, "left_anti").drop(row)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import textwrap
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -265,6 +267,23 @@ def test_hits_of_several_blocks_count_together(frame):
         assert [r.doc_id for r in kept.collect()] == [2]
 
 
+def test_few_blocks_on_the_driver(frame, monkeypatch):
+    alive, most, plain = [], [], decontamination.Items.__init__
+
+    def init(self, *args):
+        plain(self, *args)
+        gc.collect()
+        alive.append(weakref.ref(self))
+        most.append(sum(r() is not None for r in alive))
+    monkeypatch.setattr(decontamination.Items, "__init__", init)
+    rng = random.Random(3)
+    benchmark = frame([(k, prose(rng, 20)) for k in range(5)]).selectExpr("cast(doc_id as string) item_id", "text")
+    docs = frame([(1, prose(rng, 50))])
+    assert decontamination.decontaminate(docs, benchmark, block_words=1).count() == 1
+    assert decontamination.drop_contaminated(docs, benchmark, block_words=1).count() == 1
+    assert len(alive) == 10 and max(most) <= 2
+
+
 # --- licences -----------------------------------------------------------------
 
 def test_licences_are_found_and_prose_is_not(frame):
