@@ -14,7 +14,8 @@ _WHERE = {
     "op1_packed_rows": "packing", "op2_repeated_substrings": "substrings", "op3_source_mix": "mixing",
     "op4_token_counts": "token_counts", "op5_quality": "quality", "op6_url_filters": "urls",
     "op7_near_duplicates": "near_duplicates", "op8_licences": "licences", "op9_decontamination": "decontamination",
-    "op10_nearest_vectors": "nearest_vectors",
+    "op10_nearest_vectors": "nearest_vectors", "op11_hard_negatives": "hard_negatives", "op12_whitening": "whitening",
+    "op13_toxicity": "toxicity",
 }
 
 
@@ -40,5 +41,6 @@ QUERIES["pipeline"] = _pipeline
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import nearest_vectors, urls
-    return {"op6_url_filters": urls.OP6_SQL, "op10_nearest_vectors": nearest_vectors.OP10_SQL}
+    from . import hard_negatives, nearest_vectors, urls
+    return {"op6_url_filters": urls.OP6_SQL, "op10_nearest_vectors": nearest_vectors.OP10_SQL,
+            "op11_hard_negatives": hard_negatives.OP11_SQL}
