@@ -4,8 +4,8 @@
 
 Runs each query once to warm up the JVM (and to store the derived inputs once),
 then twice timed; reports the faster run.  A query's time covers building its
-plan (including the small planning actions: dimension size check, hot-container
-count) and executing it completely into Spark's ``noop`` sink.  Prints one JSON
+plan (including the small planning actions: dimension size check, split-point
+sample) and executing it completely into Spark's ``noop`` sink.  Prints one JSON
 line.
 """
 

@@ -11,18 +11,19 @@ least of that time's events, combined map-side.
 
 Methods (all return the same rows):
 
-* ``segmented`` (default): skew-proof prefix scan.  Rows of hot containers (more
-  than ``hot_rows`` events + keys) are tagged with their day, others with 0, and
-  one scan runs per (container, tag).  What earlier / later days contribute
-  comes from a summary table (one row per hot container-day, combined map-side)
-  and enters each day's scan as two sentinel rows.  A container holding a third
-  of all rows is therefore spread over its days.  With hot containers the tagged
-  rows are written once below the shared folder, so neither the summary nor the
-  scan reads the inputs again.
+* ``scan`` (default): a parallel prefix scan over chunks of the order (container, time).  Split points are every k-th
+  row of a sorted sample of that order, so chunks hold about equally many rows; a container in which no split point
+  falls is one chunk, one that holds half of all rows is half of the chunks, and a time that holds more than a chunk is
+  a split point several times over: its probes are dealt out over its chunks, its events are reduced to the greatest and the least,
+  which stand in each.  Every row finds its chunk by binary search in its container's split points and
+  goes straight to the partition of that chunk (``repartitionById``): one exchange, after which each chunk
+  is scanned alone.  What earlier / later chunks of a container contribute comes from a table of one row per chunk and
+  enters the scan as two sentinel rows.  The plan is the same at every skew; the number of split points is bounded by the
+  number of partitions.
 * ``window``: one running max / min per container over the union of events and
-  keys.  One shuffle, but a hot container is one window partition.
+  keys.  One shuffle, but a container is one window partition.
 * ``join``: equi-joins on (container, day) with a conditional arg-max / arg-min
-  per key, and the summary's carries for the other days.  Rows = event times x dispatch
+  per key, and a per-day summary's carries for the other days.  Rows = event times x dispatch
   times of one container-day, never of a whole container.
 
 ``nearest_billing`` returns one row per distinct key.  ``attach_nearest`` adds
@@ -32,20 +33,20 @@ the rows ride through the same scan as a struct.
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_diff
 from ..schemas import AFTER_COLUMNS, BEFORE_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES, NEAREST_FIELDS
-from ..session import work_path
 from .movements import movement_keys
 
-# A container with more events + dispatch keys than this is scanned per day; so is
-# none with less than 1 / MAX_HOT of all rows, which bounds the set of hot ones.
-DEFAULT_HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
+# Chunks per partition, so that a partition holds several of them and their sizes even out; rows that
+# a chunk should hold at least; sampled rows per chunk.
+CHUNKS_PER_PARTITION = 4
+CHUNK_ROWS = 1_000_000
+SAMPLE_PER_CHUNK = 64
 
 _PAYLOAD = ("order_id", "container_no") + EVENT_NAME_COLUMNS + ("date_e", "rub_sum", "cur_sum")
 # Tie-break order after date_e and order_id (NULL names compare as '').
@@ -64,10 +65,9 @@ def event_struct() -> Column:
 
 
 def _clean_events(events: DataFrame) -> DataFrame:
-    """One row per (container, time): ``le`` / ``ge``, the greatest / least event of that time."""
+    """container_no, t, ev of the events that have both a container and a time."""
     return (events.filter(F.col("container_no").isNotNull() & F.col("date_e").isNotNull())
-                  .select("container_no", F.col("date_e").alias("t"), event_struct().alias("ev"))
-                  .groupBy("container_no", "t").agg(F.max("ev").alias("le"), F.min("ev").alias("ge")))
+                  .select("container_no", F.col("date_e").alias("t"), event_struct().alias("ev")))
 
 
 def _picks(dispatch: Column, before: str = "b", after: str = "a") -> list[Column]:
@@ -83,52 +83,79 @@ def _picks(dispatch: Column, before: str = "b", after: str = "a") -> list[Column
     return cols
 
 
-# --- hot containers ---------------------------------------------------------
+# --- split points -------------------------------------------------------------
 
-def _hot_from_counts(counts: DataFrame, hot_rows: int) -> list[str] | bool:
-    """Containers with more than ``hot_rows`` rows; True (all) for ``hot_rows=0``."""
-    if hot_rows <= 0:
-        return True
-    per = counts.groupBy("container_no").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_rows)
-    # All containers above hot_rows hold at most all rows, so this sum decides on a higher
-    # limit only where more than MAX_HOT of them exist.
-    total = per.agg(F.sum("n"), F.count(F.lit(1))).first()
-    if not total[1]:
-        return []
-    limit = max(hot_rows, total[0] // MAX_HOT)
-    return [r["container_no"] for r in per.filter(F.col("n") > limit).select("container_no").collect()]
+@dataclass(frozen=True)
+class Splits:
+    """Split points by container (sorted, repeated where one time holds several chunks) and the partitions they are for."""
 
+    points: dict[str, tuple]
+    partitions: int
 
-def hot_containers(movements_n: DataFrame, ledger: DataFrame | None = None,
-                   hot_rows: int = DEFAULT_HOT_ROWS) -> list[str] | bool:
-    """Containers whose window partition could exceed ``hot_rows`` rows (at most ``MAX_HOT``).
-
-    Counted from the base tables (movement rows + ledger lines of the event
-    codes: upper bounds of dispatch keys and billing events), with map-side
-    combining.
-    """
-    parts = movements_n.select("container_no", F.lit(1).cast("long").alias("n"))
-    if ledger is not None:
-        lines = (ledger.filter(F.col("esu_id").isin(*INVOICE_CODES))
-                 .select(F.upper("service_details_container_number").alias("container_no"),
-                         F.lit(1).cast("long").alias("n")))
-        parts = parts.unionByName(lines)
-    return _hot_from_counts(parts.filter(F.col("container_no").isNotNull()), hot_rows)
 
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-def _hot_from_inputs(ev: DataFrame, keys: DataFrame, hot_rows: int) -> list[str] | bool:
-    counts = (ev.select("container_no", F.lit(1).cast("long").alias("n"))
-              .unionByName(keys.select("container_no", F.lit(1).cast("long").alias("n"))))
-    return _hot_from_counts(counts, hot_rows)
 
+def sampled_splits(keys: DataFrame, chunks: int | None = None, partitions: int | None = None, total: int | None = None) -> Splits:
+    """Split points of ``keys`` (container_no, t): at most ``chunks`` rows come to the driver.
 
-def _segment_of(t: Column, granularity: str) -> Column:
-    day = F.unix_date(F.to_date(t)).cast("long")
-    if granularity == "day":
-        return day
-    if granularity == "hour":
-        return day * 24 + F.hour(t)
-    raise ValueError("granularity must be 'day' or 'hour'")
+    ``chunks`` defaults to a few per partition, fewer where they would hold less than ``CHUNK_ROWS`` rows.  The sample's size
+    follows the number of chunks, not the table.  Any split points give the same result; only the balance depends on them.
+    ``total`` may give the number of rows, or a number not far above it.
+    """
+    partitions = partitions or partitions_of(keys.sparkSession)
+    total = keys.count() if total is None else total
+    if chunks is None:
+        chunks = min(CHUNKS_PER_PARTITION * partitions, total // CHUNK_ROWS)
+    if chunks < 2 or not total:
+        return Splits({}, partitions)
+    known = keys.filter(F.col("container_no").isNotNull() & F.col("t").isNotNull())
+    fraction = min(1.0, SAMPLE_PER_CHUNK * chunks / total)
+    sample = known if fraction == 1.0 else known.sample(fraction, seed=17)
+    # One task sorts the bounded sample.
+    numbered = sample.select("container_no", "t", F.row_number().over(Window.orderBy("container_no", "t")).alias("place"),
+                             F.count(F.lit(1)).over(Window.partitionBy()).alias("size"))
+    picked = numbered.filter(F.col("place") % F.ceil(F.col("size") / chunks) == 0).select("container_no", "t").collect()
+    points: dict[str, list] = {}
+    for row in picked:
+        points.setdefault(row["container_no"], []).append(row["t"])
+    return Splits({c: tuple(sorted(ts)) for c, ts in points.items()}, partitions)
+
+
+def split_points(movements_n: DataFrame, ledger: DataFrame, chunks: int | None = None, partitions: int | None = None) -> Splits:
+    """Split points from the base tables (dispatches, ledger lines of the event codes): two narrow columns of each."""
+    lines = (ledger.filter(F.col("esu_id").isin(*INVOICE_CODES))
+             .select(F.upper("service_details_container_number").alias("container_no"), F.col("date_end").alias("t")))
+    keys = movements_n.select("container_no", F.col("dispatch_ts").alias("t")).unionByName(lines)
+    # Whole tables are counted from the files' footers.
+    return sampled_splits(keys, chunks, partitions, movements_n.count() + ledger.count())
+
+
+def _with_points(df: DataFrame, splits: Splits, how: str = "left") -> DataFrame:
+    """``df`` (container_no, t, ..) plus ``points``, its container's split points (NULL where it has none)."""
+    t_type = df.schema["t"].dataType.simpleString()
+    if not splits.points:
+        return df.withColumn("points", F.lit(None).cast(f"array<{t_type}>"))
+    table = df.sparkSession.createDataFrame([(c, list(ts)) for c, ts in sorted(splits.points.items())],
+                                            f"container_no string, points array<{t_type}>")
+    return df.join(F.broadcast(table), "container_no", how)  # at most one row for each split point
+
+
+def _points_below(t: Column, splits: Splits, inclusive: bool) -> Column:
+    """How many of ``points`` are before ``t`` (or at it): binary search."""
+    longest = max((len(ts) for ts in splits.points.values()), default=1)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))])
+
+    def step(low, size):
+        point = F.get("points", low + size - 1)
+        return F.when(point <= t if inclusive else point < t, low + size).otherwise(low)
+    return F.when(F.col("points").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+
+
+def _partition(chunk: Column, partitions: int) -> Column:
+    """The partition of a chunk: neighbouring chunks of a container lie in neighbouring partitions."""
+    return F.pmod(F.pmod(F.xxhash64("container_no"), F.lit(partitions)) + chunk, F.lit(partitions)).cast("int")
 
 
 # --- scans ------------------------------------------------------------------
@@ -141,18 +168,15 @@ def _probes(keys: DataFrame) -> DataFrame:
     return keys.select("container_no", F.col("dispatch_ts").alias("t"), "m")
 
 
-def _rows(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    """Events and probes in one table: container_no, t, le, ge, kind (0 event, 1 probe), m."""
-    p = _probes(keys)
-    none = F.lit(None).cast(ev.schema["le"].dataType)
-    return (ev.select("container_no", "t", "le", "ge", F.lit(0).alias("kind"),
-                      F.lit(None).cast(p.schema["m"].dataType).alias("m"))
-            .unionByName(p.select("container_no", "t", none.alias("le"), none.alias("ge"),
-                                  F.lit(1).alias("kind"), "m")))
+def _rows(ev: DataFrame, probes: DataFrame, *more: str) -> DataFrame:
+    """Events and probes in one table: container_no, t, ev, kind (0 event, 1 probe), m, and the columns ``more`` of both."""
+    return (ev.select("container_no", "t", "ev", F.lit(0).alias("kind"), F.lit(None).cast(probes.schema["m"].dataType).alias("m"), *more)
+            .unionByName(probes.select("container_no", "t", F.lit(None).cast(ev.schema["ev"].dataType).alias("ev"),
+                                       F.lit(1).alias("kind"), "m", *more)))
 
 
-def _scan(rows: DataFrame, *keys: str) -> DataFrame:
-    """Running max of ``le`` / min of ``ge`` per key; equal times are RANGE peers, so an
+def _prefix(rows: DataFrame, *keys: str) -> DataFrame:
+    """Running max / min of ``ev`` per key; equal times are RANGE peers, so an
     event at the dispatch time counts on both sides.
 
     A probe without a time sorts first ascending (it is a peer only of other such
@@ -163,153 +187,158 @@ def _scan(rows: DataFrame, *keys: str) -> DataFrame:
     down = (Window.partitionBy(*keys).orderBy(F.col("t").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "kind", "m",
-                        F.max("le").over(up).alias("b"),
-                        F.when(F.col("t").isNotNull(), F.min("ge").over(down)).alias("a"))
+                        F.max("ev").over(up).alias("b"),
+                        F.when(F.col("t").isNotNull(), F.min("ev").over(down)).alias("a"))
             .filter(F.col("kind") == 1).drop("kind"))
 
 
 def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    return _scan(_rows(ev, keys), "container_no")
-
-
-def _segmented(ev: DataFrame, keys: DataFrame, hot: list[str] | bool, granularity: str = "day") -> DataFrame:
-    """``hot``: the hot containers, or True when all are hot."""
-    if hot is not True and not hot:
-        return _window(ev, keys)
-    rows = _rows(ev, keys)
-    t_type, ev_type, m_type = (rows.schema[c].dataType for c in ("t", "le", "m"))
-    none, no_m = F.lit(None).cast(ev_type), F.lit(None).cast(m_type)
-    # 1. Tag: the day for rows of hot containers, NULL days with their own tag, else 0.
-    is_hot = F.lit(True) if hot is True else F.col("container_no").isin(hot)
-    low_tag = F.lit(-2 ** 62).cast("long")
-    tag = F.when(is_hot, F.coalesce(_segment_of(F.col("t"), granularity), low_tag)).otherwise(F.lit(0).cast("long"))
-    # Written once: the summary and the scan both read these rows.
-    path = work_path(ev.sparkSession, "tagged", uuid.uuid4().hex[:12])
-    rows.withColumn("hot", is_hot).withColumn("seg", tag).write.parquet(path)
-    rows = ev.sparkSession.read.parquet(path)
-    # 2. Carry-in per hot (container, segment) from strictly earlier / later segments, over
-    #    a summary with one row per container-segment (combined map-side).
-    carries = _carries(rows.filter(F.col("hot"))).filter(F.col("seg") != low_tag)
-    # 3. The carries enter each segment's scan as two sentinel rows: one before
-    #    every timestamp (earlier segments' best), one after (later segments' best).
-    sentinels = F.explode(F.array(
-        F.struct(F.lit(_LOW).cast(t_type).alias("t"), F.col("carry_le").alias("le"), none.alias("ge")),
-        F.struct(F.lit(_HIGH).cast(t_type).alias("t"), none.alias("le"), F.col("carry_ge").alias("ge"))))
-    carry_rows = (carries.select("container_no", "seg", sentinels.alias("c"))
-                  .select("container_no", "c.t", "c.le", "c.ge", F.lit(2).alias("kind"), no_m.alias("m"), "seg"))
-    # 4. One scan for hot and cold containers alike.
-    columns = ["container_no", "t", "le", "ge", "kind", "m", "seg"]
-    return _scan(rows.select(*columns).unionByName(carry_rows.select(*columns)), "container_no", "seg")
+    return _prefix(_rows(ev, _probes(keys)), "container_no")
+
+
+def _scan(ev: DataFrame, keys: DataFrame, splits: Splits) -> DataFrame:
+    """The parallel prefix scan: every chunk is scanned alone, by the partition it lies in."""
+    return _prefix(_placed(ev, keys, splits), "part", "container_no", "chunk")
+
+
+def _placed(ev: DataFrame, keys: DataFrame, splits: Splits) -> DataFrame:
+    """Events, probes and what the chunks' edges carry, every row in its chunk's partition."""
+    n = splits.partitions
+    t = F.col("t")
+    below, upto = _points_below(t, splits, False), _points_below(t, splits, True)
+    # Chunk k holds the times after split point k - 1 up to point k.  A time that is several points has several chunks.
+    events = _with_points(ev, splits).withColumn("chunk", below)
+    several = any(len(set(ts)) < len(ts) for ts in splits.points.values())
+    if several:
+        events = events.withColumn("last", F.greatest(F.col("chunk"), upto - 1))
+        least_and_greatest = F.explode(F.array_distinct(F.array("low", "high")))
+        tied = (events.filter("last > chunk").groupBy("container_no", "t", "chunk", "last")
+                .agg(F.min("ev").alias("low"), F.max("ev").alias("high"))
+                .select("container_no", "t", F.explode(F.sequence("chunk", "last")).alias("chunk"), "low", "high")
+                .select("container_no", "t", least_and_greatest.alias("ev"), "chunk"))
+        events = events.filter("last = chunk").select("container_no", "t", "ev", "chunk").unionByName(tied)
+    events = events.select("container_no", "t", "ev", "chunk")
+    # Probes without a container or time meet no event; they are dealt out over chunks of their own.
+    salt = F.xxhash64("m", F.spark_partition_id())
+    spread = F.pmod(salt, F.lit(n)).cast("int")
+    tied_chunk = below + F.pmod(salt, F.greatest(F.lit(1), upto - below)).cast("int") if several else below
+    chunk = F.when(F.col("container_no").isNull() | t.isNull(), -1 - spread).otherwise(tied_chunk)
+    probes = _with_points(_probes(keys), splits).withColumn("chunk", chunk)
+    rows = _rows(events, probes, "chunk")
+    if splits.points:
+        rows = rows.unionByName(_carry_rows(ev, events, splits).withColumn("m", F.lit(None).cast(rows.schema["m"].dataType)))
+    return rows.withColumn("part", _partition(F.col("chunk"), n)).repartitionById(n, "part")
+
+
+def _carry_rows(ev: DataFrame, events: DataFrame, splits: Splits) -> DataFrame:
+    """Two sentinel rows for each chunk of a split container: the greatest event of its earlier chunks, before all
+    times, and the least of its later chunks, after all times."""
+    spark = ev.sparkSession
+    names = spark.createDataFrame([(c, len(ts)) for c, ts in sorted(splits.points.items())], "container_no string, n_points int")
+    # Every chunk has a row, also one without events.
+    chunks = names.select("container_no", F.lit(None).cast(ev.schema["ev"].dataType).alias("ev"),
+                          F.explode(F.sequence(F.lit(0), F.col("n_points"))).alias("chunk"))
+    # A list of names (at most one for each split point) goes through the events' grouping down to the ledger's scan.
+    own = events.filter(F.col("container_no").isin(sorted(splits.points))).select("container_no", "ev", "chunk")
+    summary = chunks.unionByName(own).groupBy("container_no", "chunk").agg(F.max("ev").alias("high"), F.min("ev").alias("low"))
+    earlier = Window.partitionBy("container_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("container_no").orderBy(F.col("chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carries = summary.select("container_no", "chunk", F.max("high").over(earlier).alias("high"), F.min("low").over(later).alias("low"))
+    t_type = ev.schema["t"].dataType
+    sentinel = F.explode(F.array(F.struct(F.lit(_LOW).cast(t_type).alias("t"), F.col("high").alias("ev")),
+                                 F.struct(F.lit(_HIGH).cast(t_type).alias("t"), F.col("low").alias("ev"))))
+    return (carries.select("container_no", "chunk", sentinel.alias("s")).filter("s.ev IS NOT NULL")
+            .select("container_no", "s.t", "s.ev", F.lit(2).alias("kind"), "chunk"))
+
+
+# --- join by day --------------------------------------------------------------
+
+def _day(t: Column) -> Column:
+    return F.unix_date(F.to_date(t)).cast("long")
 
 
 def _carries(rows: DataFrame) -> DataFrame:
-    """container_no, seg, carry_le, carry_ge for the segments that hold a probe: the greatest event of
-    strictly earlier segments and the least of later ones, over one row per container-segment."""
+    """container_no, seg, carry_high, carry_low for the days that hold a probe: the greatest event of
+    earlier days and the least of later ones, over one row per container-day."""
     summary = (rows.groupBy("container_no", "seg")
-               .agg(F.max("le").alias("seg_le"), F.min("ge").alias("seg_ge"), F.max("kind").alias("has_key")))
-    earlier = Window.partitionBy("container_no").orderBy("seg").rangeBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("container_no").orderBy("neg_seg").rangeBetween(Window.unboundedPreceding, -1)
-    return (summary.withColumn("neg_seg", -F.col("seg"))
-            .select("container_no", "seg", "has_key",
-                    F.max("seg_le").over(earlier).alias("carry_le"),
-                    F.min("seg_ge").over(later).alias("carry_ge"))
+               .agg(F.max("ev").alias("high"), F.min("ev").alias("low"), F.max("kind").alias("has_key")))
+    earlier = Window.partitionBy("container_no").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("container_no").orderBy(F.col("seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return (summary.select("container_no", "seg", "has_key", F.max("high").over(earlier).alias("carry_high"),
+                           F.min("low").over(later).alias("carry_low"))
             .filter(F.col("has_key") == 1).drop("has_key"))
 
 
-def _join(ev: DataFrame, keys: DataFrame, granularity: str = "day") -> DataFrame:
+def _join(ev: DataFrame, keys: DataFrame) -> DataFrame:
     """Equi-joins on (container, day): the day's own events, and what other days carry in."""
-    seg = _segment_of(F.col("t"), granularity)
-    carries = _carries(_rows(ev, keys).withColumn("seg", seg)).filter("seg IS NOT NULL")
+    seg = _day(F.col("t"))
+    carries = _carries(_rows(ev, _probes(keys)).withColumn("seg", seg).filter("seg IS NOT NULL"))
     probes = _probes(keys).select("container_no", F.col("t").alias("dispatch_ts"), seg.alias("seg"))
     own = ev.withColumn("seg", seg)
     met = (probes.join(own, ["container_no", "seg"], "left").groupBy("container_no", "seg", "dispatch_ts")
-           .agg(F.max(F.when(F.col("t") <= F.col("dispatch_ts"), F.col("le"))).alias("b"),
-                F.min(F.when(F.col("t") >= F.col("dispatch_ts"), F.col("ge"))).alias("a")))
+           .agg(F.max(F.when(F.col("t") <= F.col("dispatch_ts"), F.col("ev"))).alias("b"),
+                F.min(F.when(F.col("t") >= F.col("dispatch_ts"), F.col("ev"))).alias("a")))
     return (met.join(carries, ["container_no", "seg"], "left")
-            .select("container_no", "dispatch_ts", F.coalesce("b", "carry_le").alias("b"),
-                    F.coalesce("a", "carry_ge").alias("a")))
+            .select("container_no", "dispatch_ts", F.coalesce("b", "carry_high").alias("b"),
+                    F.coalesce("a", "carry_low").alias("a")))
 
 
-_METHODS = ("segmented", "window", "join")
+_METHODS = ("scan", "window", "join")
 
 
-def _pick(ev: DataFrame, keys: DataFrame, method: str, hot_rows: int, granularity: str, hot) -> DataFrame:
+def _pick(ev: DataFrame, keys: DataFrame, method: str, splits: Splits | None, chunks: int | None) -> DataFrame:
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     if method == "window":
         return _window(ev, keys)
     if method == "join":
         return _join(ev, keys)
-    if hot is None:
-        hot = _hot_from_inputs(ev, keys, hot_rows)
-    return _segmented(ev, keys, hot, granularity)
+    if splits is None:
+        times = ev.select("container_no", "t").unionByName(keys.select("container_no", F.col("dispatch_ts").alias("t")))
+        splits = sampled_splits(times, chunks)
+    return _scan(ev, keys, splits)
 
 
 # --- public -------------------------------------------------------------------
 
-def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
-                    hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None) -> DataFrame:
+def nearest_billing(events: DataFrame, movements_n: DataFrame, method: str = "scan", splits: Splits | None = None,
+                    chunks: int | None = None) -> DataFrame:
     """One row per movement key (container, dispatch_ts) with a billing event on
     at least one side: ``before_*`` and ``after_*`` columns (NULL where a side
     has no event); ``*_date_diff`` = days from dispatch to the event.
 
-    ``segmented``: containers with more than ``hot_rows`` events + keys are
-    scanned per ``granularity`` segment (day or hour) with carries between
-    segments; ``hot_rows=0`` segments every container.  ``hot`` may give the hot
-    containers (``hot_containers``, counted from the base tables); else they are
-    counted from the events and keys."""
+    ``scan``: ``splits`` may give the split points (``split_points``, from the base tables); else they are
+    sampled from the events and keys, ``chunks`` of them."""
     ev = _clean_events(events)
-    keys = movement_keys(movements_n)
-    picked = _pick(ev, keys, method, hot_rows, granularity, hot)
+    picked = _pick(ev, movement_keys(movements_n), method, splits, chunks)
     picked = picked.filter(F.col("b").isNotNull() | F.col("a").isNotNull())
     return picked.select("container_no", "dispatch_ts", *_picks(F.col("dispatch_ts")))
 
 
-def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "segmented",
-                   hot_rows: int = DEFAULT_HOT_ROWS, granularity: str = "day", hot=None,
-                   null_containers: bool = True) -> DataFrame:
+def attach_nearest(events: DataFrame, rows: DataFrame, method: str = "scan", splits: Splits | None = None,
+                   chunks: int | None = None) -> DataFrame:
     """Every row of ``rows`` (with ``container_no``, ``dispatch_ts``) plus the
     ``before_*`` / ``after_*`` blocks: a left as-of join, with the same values as
     ``nearest_billing`` joined back on the key.
 
     The rows ride through the scan as one struct, so there is no join back; a row
-    without a dispatch time picks nothing.  Rows without a container get NULL
-    blocks without entering the scan (they would all share one window partition);
-    ``null_containers=False`` promises there are none and drops that branch from
-    the plan.
+    without a container or a dispatch time picks nothing.
     """
-    if method not in _METHODS:
-        raise ValueError(f"method must be one of {sorted(_METHODS)}")
     cols = [F.col(f"`{c}`") for c in rows.columns]
-    blocks = list(BEFORE_COLUMNS + AFTER_COLUMNS)
-    has_container = F.col("container_no").isNotNull()
-    scanned = rows.filter(has_container) if null_containers else rows
     if method == "join":
-        near = nearest_billing(events, scanned, "join")
-        out = scanned.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *blocks)
-    else:
-        ev = _clean_events(events)
-        if method == "window":
-            hot = []
-        elif hot is None:
-            hot = _hot_from_inputs(ev, movement_keys(scanned), hot_rows)
-        probes = scanned.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
-        out = _segmented(ev, probes, hot, granularity).select("m.*", *_picks(F.col("m.dispatch_ts")))
-    if null_containers:
-        nulls = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in blocks]
-        out = out.unionByName(rows.filter(~has_container).select(*cols, *nulls))
-    return out
-
-
-def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
-                   hot_rows: int = DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
+        near = nearest_billing(events, rows, "join")
+        return rows.join(near, ["container_no", "dispatch_ts"], "left").select(*cols, *BEFORE_COLUMNS, *AFTER_COLUMNS)
+    probes = rows.select("container_no", "dispatch_ts", F.struct(*cols).alias("m"))
+    return _pick(_clean_events(events), probes, method, splits, chunks).select("m.*", *_picks(F.col("m.dispatch_ts")))
+
+
+def nearest_before(events: DataFrame, movements_n: DataFrame, method: str = "scan", splits: Splits | None = None) -> DataFrame:
     """Keys with an event at or before the dispatch: key + ``before_*`` columns."""
-    out = nearest_billing(events, movements_n, method, hot_rows, hot=hot)
+    out = nearest_billing(events, movements_n, method, splits)
     return out.filter(F.col("before_date_e").isNotNull()).select("container_no", "dispatch_ts", *BEFORE_COLUMNS)
 
 
-def nearest_after(events: DataFrame, movements_n: DataFrame, method: str = "segmented",
-                  hot_rows: int = DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
+def nearest_after(events: DataFrame, movements_n: DataFrame, method: str = "scan", splits: Splits | None = None) -> DataFrame:
     """Keys with an event at or after the dispatch: key + ``after_*`` columns."""
-    out = nearest_billing(events, movements_n, method, hot_rows, hot=hot)
+    out = nearest_billing(events, movements_n, method, splits)
     return out.filter(F.col("after_date_e").isNotNull()).select("container_no", "dispatch_ts", *AFTER_COLUMNS)

@@ -9,7 +9,7 @@ from ..operators.billing import billing_events
 from ..operators.enrich import enrich, movements_with_invoices
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
-from ..operators.nearest import DEFAULT_HOT_ROWS, attach_nearest, hot_containers, nearest_billing
+from ..operators.nearest import attach_nearest, nearest_billing, split_points
 from ..schemas import ENRICHED_COLUMNS, MOVEMENT_COLUMNS
 from ..operators.numbering import number_rows
 from ..sources.tables import Sources
@@ -19,16 +19,17 @@ from ..sources.tables import Sources
 STORAGE_ORDER = ["dispatch_ts", "railway_from", "container_no", "shipment_no"]
 
 
-def build_enriched(sources: Sources, railway: str | None = None, nearest_method: str = "segmented",
+def build_enriched(sources: Sources, railway: str | None = None, nearest_method: str = "scan",
                    invoice_method: str = "one_level", keep_blank_documents: bool = False,
-                   normalise_container: bool = False, hot_rows: int = DEFAULT_HOT_ROWS,
+                   normalise_container: bool = False, chunks: int | None = None,
                    number: bool = False) -> DataFrame:
     """Every movement (optionally of one railway) with its invoice and nearest-billing blocks.
 
     One lazy plan; Catalyst prunes the columns each branch reads from the
     movement and ledger scans, and each branch reduces its input with a
-    map-side combined aggregation before it is shuffled.  The only action while
-    planning is the hot-container count over the two base tables.
+    map-side combined aggregation before it is shuffled.  The only actions while
+    planning are the count and the bounded sample of the two base tables that give the scan's split points
+    (``chunks`` of them, see ``operators.nearest``).
 
     ``number=True`` prepends ``rownumber`` by ``STORAGE_ORDER`` and then all
     columns.  The movements are numbered *before* the joins: every added column
@@ -48,13 +49,13 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
         return enrich(left, invoices, nearest_billing(events, movements_n, "join"))
     # The nearest blocks are attached to the (movement + invoice) rows in the
     # scan itself: no second join of the wide rows.
-    hot = hot_containers(movements_n, sources.ledger, hot_rows) if nearest_method == "segmented" else []
+    splits = split_points(movements_n, sources.ledger, chunks) if nearest_method == "scan" else None
     # A movement without a container matches no invoice and no event: it is set
     # aside before the joins (a cheap filter), so NULL never becomes a join or
     # window key.
     has_container = F.col("container_no").isNotNull()
     out = attach_nearest(events, movements_with_invoices(left.filter(has_container), invoices),
-                         nearest_method, hot_rows, hot=hot, null_containers=False)
+                         nearest_method, splits)
     blank = left.filter(~has_container).select(
         *extra, *MOVEMENT_COLUMNS,
         *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ENRICHED_COLUMNS if c not in MOVEMENT_COLUMNS])

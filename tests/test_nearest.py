@@ -8,15 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, ts
-from revaudit.operators.nearest import hot_containers, nearest_after, nearest_before, nearest_billing
+from revaudit.operators import nearest
+from revaudit.operators.nearest import nearest_after, nearest_before, nearest_billing
 
 EVENT_SCHEMA = ("order_id bigint, container_no string, client_name string, points_from_name string, "
                 "points_to_name string, station_name_from string, station_name_to string, service_name string, "
                 "date_e timestamp_ntz, rub_sum decimal(38,2), cur_sum decimal(38,2)")
 KEY_SCHEMA = "container_no string, dispatch_ts timestamp_ntz, shipment_no string"
 
-METHODS = [("segmented", {}), ("segmented", {"hot_rows": 0}), ("segmented", {"hot_rows": 0, "granularity": "hour"}),
-           ("window", {}), ("join", {})]
+METHODS = [("scan", {}), ("scan", {"chunks": 7}), ("scan", {"chunks": 1000}), ("window", {}), ("join", {})]
 
 
 def ev(order, container, when, service="svc", client="cl", rub=1):
@@ -120,37 +120,78 @@ def test_before_after_projections(spark):
     assert all(c.startswith("before_") for c in b.columns[2:])
 
 
-def test_hot_containers_bound(spark):
-    mv = spark.createDataFrame([("H",)] * 30 + [("A",), ("B",)], "container_no string")
-    assert hot_containers(mv, None, hot_rows=10) == ["H"]
-    assert hot_containers(mv, None, hot_rows=100) == []
-
-
-def test_hot_set_is_bounded(spark, monkeypatch):
-    """More hot containers than MAX_HOT: the limit rises, so that the set stays bounded."""
-    import revaudit.operators.nearest as nearest
-    monkeypatch.setattr(nearest, "MAX_HOT", 2)
-    mv = spark.createDataFrame([("H",)] * 30 + [("A",)] * 12 + [("B",)] * 11 + [("C",)] * 10, "container_no string")
-    assert hot_containers(mv, None, hot_rows=5) == []      # none has more than half of the 63 rows
-    more = mv.unionAll(spark.createDataFrame([("H",)] * 10, "container_no string"))
-    assert hot_containers(more, None, hot_rows=5) == ["H"]
-    assert hot_containers(more, None, hot_rows=0) is True
-
-
-def test_events_of_one_time_are_one_row(spark):
-    import revaudit.operators.nearest as nearest
-    events = [ev(i, "C1", "2020-01-01 00:00:00") for i in range(50)] + [ev(99, "C1", "2020-01-02 00:00:00")]
-    reduced = nearest._clean_events(spark.createDataFrame(events, EVENT_SCHEMA))
-    assert sorted((r["le"]["p"]["order_id"], r["ge"]["p"]["order_id"]) for r in reduced.collect()) == [(49, 0), (99, 99)]
+def _skewed(spark, hot_time):
+    """Half of all rows on one day of container H: at all times of it, or at one."""
+    from pyspark.sql import functions as F
+    n = 24_000
+    base = F.to_timestamp_ntz(F.lit("2020-03-01 00:00:00"))
+
+    def at(i):
+        hot = F.lit(40_000) if hot_time else (F.hash(i) % 40_000)
+        second = F.when(i % 2 == 0, 5 * 86_400 + hot).otherwise((F.hash(i, F.lit(1)) % 1_000_000))
+        return F.timestamp_add("SECOND", second.cast("int"), base)
+
+    def container(i):
+        return F.when(i % 2 == 0, "H").otherwise(F.concat(F.lit("C"), (F.hash(i, F.lit(2)) % 900).cast("string")))
+    ids = spark.range(n)
+    events = ids.select(F.col("id").alias("order_id"), container(F.col("id")).alias("container_no"),
+                        *[F.lit("x").alias(c) for c in ("client_name", "points_from_name", "points_to_name", "station_name_from",
+                                                        "station_name_to", "service_name")],
+                        at(F.col("id")).alias("date_e"), F.lit(1).cast("decimal(38,2)").alias("rub_sum"), F.lit(0).cast("decimal(38,2)").alias("cur_sum"))
+    keys = ids.select(container(F.col("id") + 7 * n + 1).alias("container_no"), at(F.col("id") + 7 * n + 1).alias("dispatch_ts"),
+                      F.lit("s").alias("shipment_no"), F.col("id").cast("string").alias("payload"))
+    return events, keys
+
+
+@pytest.mark.parametrize("hot_time", [False, True])
+def test_half_of_all_rows_on_one_container_day(spark, hot_time):
+    """No partition holds twice the median, and the result is that of the other methods."""
+    events, keys = _skewed(spark, hot_time)
+    ev_, probes = nearest._clean_events(events), keys.select("container_no", "dispatch_ts", F.struct(*keys.columns).alias("m"))
+    times = ev_.select("container_no", "t").unionByName(keys.select("container_no", F.col("dispatch_ts").alias("t")))
+    splits = nearest.sampled_splits(times, chunks=64, partitions=8)
+    assert 16 <= len(splits.points["H"]) <= 48
+    assert (len(set(splits.points["H"])) == 1) == hot_time
+    per = [r["count"] for r in nearest._placed(ev_, probes, splits).filter("kind = 1")
+           .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per) == 8 and max(per) <= 2 * sorted(per)[4]
+    got = nearest.attach_nearest(events, keys, splits=splits)
+    cols = ["payload", "before_order_id", "before_date_e", "after_order_id", "after_date_e"]
+    want = keys.join(nearest_billing(events, keys, "window"), ["container_no", "dispatch_ts"], "left")
+    assert got.count() == keys.count()
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_one_plan_at_every_skew(spark):
+    """Rows are exchanged once, to the partitions of their chunks; hot or cold, the scan has the same operators."""
+    import re
+    events, keys = _skewed(spark, False)
+    shapes = []
+    for half in (keys, keys.filter("container_no <> 'H'")):
+        ev_ = events if half is keys else events.filter("container_no <> 'H'")
+        plan = nearest.attach_nearest(ev_, half, chunks=64)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("shufflepartitionidpassthrough") == 1
+        shapes.append(sorted(re.findall(r"(?:Exchange \w+|Window |BroadcastHashJoin|SortMergeJoin|Sort |Generate|Union)", plan)))
+    assert shapes[0] == shapes[1]
+
+
+def test_split_points_are_bounded_and_follow_the_rows(spark):
+    _, keys = _skewed(spark, False)
+    times = keys.select("container_no", F.col("dispatch_ts").alias("t"))
+    splits = nearest.sampled_splits(times, chunks=40)
+    assert sum(map(len, splits.points.values())) <= 40 and all(list(p) == sorted(p) for p in splits.points.values())
+    assert nearest.sampled_splits(times).points == {}        # too few rows for a second chunk
+    assert nearest.sampled_splits(times.limit(0), chunks=9).points == {}
+    nulls = times.select(F.lit(None).cast("string").alias("container_no"), F.lit(None).cast("timestamp_ntz").alias("t"))
+    assert nearest.sampled_splits(nulls, chunks=9).points == {}
 
 
 ROW_SCHEMA = "container_no string, dispatch_ts timestamp_ntz, shipment_no string, payload string"
 
 
 @pytest.mark.parametrize("method,kw", [
-    ("window", {}), ("segmented", {}), ("segmented", {"hot_rows": 0}), ("segmented", {"hot_rows": 12}), ("join", {})])
+    ("window", {}), ("scan", {}), ("scan", {"chunks": 1000}), ("scan", {"chunks": 12}), ("join", {})])
 def test_attach_equals_key_results_joined_back(spark, method, kw):
-    import revaudit.operators.nearest as nearest
     rnd = random.Random(9)
     base = dt.datetime(2020, 1, 1)
     events = [ev(i, f"C{rnd.randint(1, 6)}", (base + dt.timedelta(days=rnd.randint(0, 15))).isoformat(sep=" "),

@@ -38,13 +38,14 @@ def test_no_estimate_based_broadcast(spark, capsys):
     src = testdata.load(spark, SF)
     plan = _plan(build_enriched(src), capsys)
     broadcast_joins = len(re.findall(r"BroadcastHashJoin", plan.split("\n\n")[0]))
-    # the six dimension lookups (checked hint) and the fixed-size hot list are the only broadcasts
+    # the six dimension lookups (checked hint) are the only broadcasts of a table that is one chunk
     assert broadcast_joins <= 6
 
 
-def _scans(df, table) -> int:
-    """Parquet scans of a stored input in the physical plan (a reused exchange's side counts once)."""
-    return df._jdf.queryExecution().executedPlan().toString().count(f"/{table}]")
+def _scans(df, column) -> int:
+    """Parquet scans that read a column in the physical plan (before it runs)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(rf"FileScan parquet \[[^\]]*\b{column}#", plan))
 
 
 def test_invoice_pairs_are_not_shuffled_in_the_build(spark, capsys):
@@ -64,14 +65,15 @@ def test_one_range_exchange_numbers_the_rows(spark):
     assert ranged - reused <= 1 and ranged >= 1
 
 
-def test_hot_container_does_not_add_scans(spark):
-    """Rows of hot and cold containers are tagged and written once; the scan and its summary read that table."""
+def test_split_containers_cost_one_narrow_scan(spark):
+    """Splitting adds one scan of the ledger, cut down to the split containers at the scan."""
     src = testdata.load(spark, SF)
-    top = src.movements.groupBy("container_number").count().orderBy("count", ascending=False).first()[1]
-    hot = build_enriched(src, hot_rows=top - 1)
-    cold = build_enriched(src, hot_rows=10**9)
-    for table in ("movements", "ledger"):
-        assert _scans(hot, table) <= _scans(cold, table)
+    split = build_enriched(src, chunks=12)
+    whole = build_enriched(src, chunks=1)
+    assert _scans(split, "container_number") == _scans(whole, "container_number") >= 1
+    assert _scans(split, "esu_id") == _scans(whole, "esu_id") + 1 >= 3
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Filter \(.*upper\(service_details_container_number#\d+\) IN", plan)
 
 
 def test_half_the_ledger_on_one_container_is_spread(spark, scratch_dir):
