@@ -7,14 +7,18 @@ returned as double so that results compare across engines.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from functools import reduce
+from dataclasses import replace
+from functools import cache, reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimals_to_double
+from ..functions.columns import decimals_to_double, strip_quotes
 from ..operators.billing import billing_events
+from ..operators.content import merged_fingerprint, movement_states
 from ..operators.enrich import (enriched_with_defaults, movements_with_invoices, presentation_names,
                                 published_table)
 from ..operators.fingerprint import (compare_fingerprints, fingerprint, processed_fingerprint,
@@ -25,9 +29,13 @@ from ..operators.nearest import nearest_after, nearest_before, nearest_billing,
 from ..session import work_path
 from ..sources import testdata
 from .build import build_enriched
-from .oracle import ONE_RAILWAY
-from .publish import build_sliced, in_number_order, publish, read_live, status_record
+from .commits import commit_history
+from .file_states import folder_fingerprint
+from .oracle import ADDED_RAILWAY, COPIED_RAILWAY, LEDGER_CONTAINER, ONE_RAILWAY, REMOVED_RAILWAY, TRACKED
+from .publish import (activate, append_status, build_sliced, in_number_order, latest_status, missing_status, publish, read_live,
+                      status_record, write_snapshot)
 from .refresh import TABLE_NAME
+from .slices import changed_slices, read_slices, refresh_slices, slice_fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +60,17 @@ def q_processed_fingerprint(spark, sf_dir):
     return processed_fingerprint(_mv(spark, sf_dir))
 
 
+@cache
+def _code_print() -> str:
+    """Hash of the package's sources (without the optional subpackage), so that a stored build never outlives its code."""
+    root = Path(__file__).parents[1]
+    files = sorted(f for f in root.rglob("*.py") if "llm" not in f.relative_to(root).parts)
+    return hashlib.sha1(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+
+
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published table (numbers, engine names) of these inputs, built and published once per input snapshot."""
-    root = work_path(spark, "published", testdata.signature(spark, sf_dir))
+    """The published table (numbers, engine names) of these inputs, built and published once per input snapshot and code."""
+    root = work_path(spark, "published", f"{testdata.signature(spark, sf_dir)}-{_code_print()}")
     live = read_live(spark, root)
     if live is None:
         src = _src(spark, sf_dir)
@@ -186,14 +202,93 @@ def q_published_presentation(spark, sf_dir):
     root = _run_folder(spark, "publish")
     src = _src(spark, sf_dir)
     table = published_table(build_enriched(src, number=True))
-    publish(in_number_order(table, src.movements.count()), root, view_name="live")
-    return decimals_to_double(spark.table("live"))
+    publish(in_number_order(table, src.movements.count()), root, view_name=None)
+    return decimals_to_double(read_live(spark, root))
 
 
 def q_table_status(spark, sf_dir):
     return status_record(processed_fingerprint(_published(spark, sf_dir)), TABLE_NAME)
 
 
+def _day_before(src):
+    """The sources as they may have been before: one railway missing, one updated without a change of count, dates or
+    names, and one that is gone today."""
+    name, mv = strip_quotes("railway_from_name"), src.movements
+    changed = (name == ONE_RAILWAY.replace('"', "")) & F.col("goods_etsng").startswith("PROMO")
+    kept = mv.filter(name != ADDED_RAILWAY).withColumn("ownerships_type", F.when(changed, F.lit("before")).otherwise(F.col("ownerships_type")))
+    gone = mv.filter(name == COPIED_RAILWAY).withColumn("railway_from_name", F.lit(f'"{REMOVED_RAILWAY}"'))
+    return replace(src, movements=kept.unionByName(gone))
+
+
+def _without_container(src):
+    return replace(src, ledger=src.ledger.filter(F.upper("service_details_container_number") != LEDGER_CONTAINER))
+
+
+def q_changed_slices(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    now = slice_fingerprints(src)
+    cases = {"movements": _day_before(src), "ledger": _without_container(src), "same": src}
+    return reduce(DataFrame.unionByName, [
+        changed_slices(now, slice_fingerprints(before)).select(F.lit(name).alias("case_name"), "railway", "status")
+        for name, before in cases.items()])
+
+
+def q_sliced_refresh(spark, sf_dir):
+    """The table after a first build and a rebuild of what changed since."""
+    src, root = _src(spark, sf_dir), _run_folder(spark, "slices")
+    refresh_slices(spark, _day_before(src), root)
+    refresh_slices(spark, src, root)
+    return decimals_to_double(read_slices(spark, root))
+
+
+def q_commit_history(spark, sf_dir):
+    """A table published once, then by two writers that both saw the first version."""
+    mv, root = _mv(spark, sf_dir), _run_folder(spark, "commits")
+    one = mv.filter(F.col("railway_from") == ONE_RAILWAY.replace('"', ""))
+    activate(spark, root, *write_snapshot(one, root), view_name=None)
+    slow, fast = write_snapshot(one, root), write_snapshot(mv, root)
+    activate(spark, root, *fast, view_name=None)
+    activate(spark, root, *slow, view_name=None)
+    history = commit_history(spark, root)
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(r["path"]).agg(F.lit(r["version"]).alias("version"), F.count(F.lit(1)).alias("rows_qty"))
+                                          for r in history.collect()])
+    return history.drop("path").join(rows, "version")
+
+
+def q_content_fingerprint(spark, sf_dir):
+    """States of half of the files, then of all: only the other half is read, and the merged states equal one pass."""
+    src, root = _src(spark, sf_dir), _run_folder(spark, "states")
+    files = sorted(src.movements.inputFiles())
+    first = folder_fingerprint(spark, files[:len(files) // 2] or files, root)
+    merged = folder_fingerprint(spark, files, root)
+    content = merged_fingerprint(movement_states(src.movements)).first()["content"]
+    update = F.when(F.col("goods_etsng").startswith("PROMO"), F.lit("before")).otherwise(F.col("ownerships_type"))
+    updated = merged_fingerprint(movement_states(src.movements.withColumn("ownerships_type", update))).first()["content"]
+    return merged.fingerprint.select(
+        "rows_qty", "min_date", "max_date", "railway_names", "station_names", (F.col("content") == content).alias("same_as_one_pass"),
+        (F.col("content") != updated).alias("sees_updates"), F.lit(len(first.read) + len(merged.read) == len(files)).alias("each_file_read_once"))
+
+
+def _status_log(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The movements, and a log with two states each of two railways."""
+    mv, root = _mv(spark, sf_dir), _run_folder(spark, "status")
+    for returned in (True, False):
+        for railway in TRACKED:
+            own = mv.filter(F.col("railway_from") == railway)
+            append_status(status_record(processed_fingerprint(own.filter("ownerships = 'R'") if returned else own), railway), root)
+    return mv, root
+
+
+def q_latest_status(spark, sf_dir):
+    _, root = _status_log(spark, sf_dir)
+    return latest_status(spark, root).select("table_name", "table_info")
+
+
+def q_missing_status(spark, sf_dir):
+    mv, root = _status_log(spark, sf_dir)
+    return missing_status(mv.select(F.col("railway_from").alias("table_name")), root)
+
+
 QUERIES: dict[str, Query] = {
     "source_fingerprint": q_source_fingerprint,
     "fingerprint_strip_after": q_fingerprint_strip_after,
@@ -226,4 +321,10 @@ QUERIES: dict[str, Query] = {
     "published_snapshot": q_published_snapshot,
     "published_presentation": q_published_presentation,
     "table_status": q_table_status,
+    "changed_slices": q_changed_slices,
+    "sliced_refresh": q_sliced_refresh,
+    "commit_history": q_commit_history,
+    "content_fingerprint": q_content_fingerprint,
+    "latest_status": q_latest_status,
+    "missing_status": q_missing_status,
 }
