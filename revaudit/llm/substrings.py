@@ -203,12 +203,20 @@ def repeated_anchors(table: pa.Table, hot_places: int = HOT_PLACES) -> pa.Table:
 
 
 def sorted_windows(raw: np.ndarray) -> np.ndarray:
-    """A number for the LENGTH-byte string at every place: equal strings have equal numbers, in the strings' order."""
-    order, group = suffix_array(tx.eight_bytes(raw), 8, _DEPTH)
-    # Single after half the depth: nothing shares LENGTH bytes with it.
-    shared = common_prefixes(raw, order, _DEPTH)
+    """A number for the LENGTH-byte string at every place: equal strings have equal numbers, in the strings' order.
+
+    Neighbours that differ within the last sorted length below LENGTH are apart, those alike in the whole depth are the
+    same; only for the others does the common prefix decide.
+    """
+    opened: dict[int, np.ndarray] = {}
+    order, _ = suffix_array(tx.eight_bytes(raw), 8, _DEPTH, opened)
+    apart = opened[max(k for k in opened if k <= LENGTH)].copy()
+    if max(opened) > LENGTH:
+        open_ = opened[max(opened)] & ~apart
+        if open_.any():
+            apart |= open_ & (common_prefixes(raw, order, _DEPTH, wanted=open_) < LENGTH)
     number = np.empty(len(raw), np.int64)
-    number[order] = np.cumsum(shared < LENGTH)
+    number[order] = np.cumsum(apart)
     return number
 
 

@@ -11,13 +11,15 @@ import numpy as np
 from .text import eight_bytes
 
 
-def suffix_array(keys: np.ndarray, unit: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_array(keys: np.ndarray, unit: int, depth: int, opened: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes sorted by their first ``depth`` symbols at least, and each place's group number.
 
     ``keys[i]`` orders the suffixes by their first ``unit`` symbols.  As by Larsson and
     Sadakane, a suffix's group number is its group's first place in the array; each pass
     doubles the sorted length by sorting, inside the groups that are not single yet, by
     the group number of the suffix that begins where the sorted part ends.
+
+    ``opened`` receives, for every sorted length on the way, the slots where a new group begins.
     """
     n = len(keys)
     order = np.argsort(keys)
@@ -27,6 +29,8 @@ def suffix_array(keys: np.ndarray, unit: int, depth: int) -> tuple[np.ndarray, n
     group = np.empty(n, np.int64)
     group[order] = np.maximum.accumulate(np.where(opens, np.arange(n), 0))
     length = unit
+    if opened is not None:
+        opened[unit] = opens.copy()
     while length < depth and n:
         single = opens.copy()
         single[:-1] &= opens[1:]
@@ -45,6 +49,8 @@ def suffix_array(keys: np.ndarray, unit: int, depth: int) -> tuple[np.ndarray, n
         opens[slots] = now
         group[place] = slots[np.maximum.accumulate(np.where(now, np.arange(len(slots)), 0))]
         length *= 2
+        if opened is not None:
+            opened[length] = opens.copy()
     return order, group
 
 
