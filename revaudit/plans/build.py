@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.billing import billing_events
-from ..operators.enrich import enrich, movements_with_invoices
+from ..operators.enrich import enrich, heavy_pairs, movements_with_invoices
 from ..operators.invoices import invoice_match
 from ..operators.movements import normalise_movements
 from ..operators.nearest import attach_nearest, nearest_billing, split_points
@@ -29,7 +29,7 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     movement and ledger scans, and each branch reduces its input with a
     map-side combined aggregation before it is shuffled.  The only actions while
     planning are the count and the bounded sample of the two base tables that give the scan's split points
-    (``chunks`` of them, see ``operators.nearest``).
+    (``chunks`` of them, see ``operators.nearest``), and in tables beyond ``HEAVY_TABLE_ROWS`` rows the sketch of heavy pairs.
 
     ``number=True`` prepends ``rownumber`` by ``STORAGE_ORDER`` and then all
     columns.  The movements are numbered *before* the joins: every added column
@@ -54,7 +54,7 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     # aside before the joins (a cheap filter), so NULL never becomes a join or
     # window key.
     has_container = F.col("container_no").isNotNull()
-    out = attach_nearest(events, movements_with_invoices(left.filter(has_container), invoices),
+    out = attach_nearest(events, movements_with_invoices(left.filter(has_container), invoices, heavy_pairs(movements_n)),
                          nearest_method, splits)
     blank = left.filter(~has_container).select(
         *extra, *MOVEMENT_COLUMNS,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import decimals_to_double, strip_quotes
 from ..operators.billing import billing_events
 from ..operators.content import merged_fingerprint, movement_states
-from ..operators.enrich import (enriched_with_defaults, movements_with_invoices, presentation_names,
+from ..operators.enrich import (enriched_with_defaults, heavy_pairs, movements_with_invoices, presentation_names,
                                 published_table)
 from ..operators.fingerprint import (compare_fingerprints, fingerprint, processed_fingerprint,
                                      refresh_decision, source_fingerprint)
@@ -32,7 +32,7 @@ from .build import build_enriched
 from .commits import commit_history
 from .file_states import folder_fingerprint
 from .oracle import ADDED_RAILWAY, COPIED_RAILWAY, LEDGER_CONTAINER, ONE_RAILWAY, REMOVED_RAILWAY, TRACKED
-from .publish import (activate, append_status, build_sliced, in_number_order, latest_status, missing_status, publish, read_live,
+from .publish import (activate, append_status, build_sliced, compact_status, in_number_order, latest_status, missing_status, publish, read_live,
                       status_record, write_snapshot)
 from .refresh import TABLE_NAME
 from .slices import changed_slices, read_slices, refresh_slices, slice_fingerprints
@@ -163,6 +163,19 @@ def q_movements_with_invoices(spark, sf_dir):
     return decimals_to_double(movements_with_invoices(mv, invoice_match(src.ledger, mv)))
 
 
+def q_invoices_of_heavy_pair(spark, sf_dir):
+    """About half of the movements moved to one pair that has an invoice: its rows are dealt out over pieces."""
+    src = _src(spark, sf_dir)
+    mv = normalise_movements(src.movements)
+    invoices = invoice_match(src.ledger, mv, only_shipped=False)
+    first = invoices.agg(F.min(F.struct("invoice_document_no", "invoice_container_no")).alias("p")).first()["p"]
+    moved = F.col("ownerships") == "N"
+    skewed = mv.withColumns({
+        "container_no": F.when(moved, F.lit(first["invoice_container_no"])).otherwise(F.col("container_no")),
+        "shipment_no": F.when(moved, F.lit(first["invoice_document_no"])).otherwise(F.col("shipment_no"))})
+    return decimals_to_double(movements_with_invoices(skewed, invoices, heavy_pairs(skewed, table_rows=0)))
+
+
 def q_enriched_movements(spark, sf_dir):
     return decimals_to_double(build_enriched(_src(spark, sf_dir)))
 
@@ -276,6 +289,8 @@ def _status_log(spark, sf_dir) -> tuple[DataFrame, str]:
         for railway in TRACKED:
             own = mv.filter(F.col("railway_from") == railway)
             append_status(status_record(processed_fingerprint(own.filter("ownerships = 'R'") if returned else own), railway), root)
+        if returned:
+            compact_status(spark, root)  # the later states are read from the log, over the checkpoint
     return mv, root
 
 
@@ -312,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "nearest_before": _nearest("scan", "before"),
     "nearest_after": _nearest("scan", "after"),
     "movements_with_invoices": q_movements_with_invoices,
+    "invoices_of_heavy_pair": q_invoices_of_heavy_pair,
     "enriched_movements": q_enriched_movements,
     "enriched_skew_path": q_enriched_skew_path,
     "enriched_with_defaults": q_enriched_with_defaults,

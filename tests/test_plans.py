@@ -98,3 +98,61 @@ def test_half_the_ledger_on_one_container_is_spread(spark, scratch_dir):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert len(per) >= 4 and per[-1] <= 2 * per[len(per) // 2]
+
+
+def test_one_railway_is_a_filter_of_the_scan(spark):
+    from revaudit.operators.movements import normalise_movements, of_railways
+    src = testdata.load(spark, SF)
+    plan = normalise_movements(src.movements, railway="AMERICA")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r'PushedFilters: \[[^\]]*(In\(railway_from_name|EqualTo\(railway_from_name,"AMERICA"|IsNotNull\(railway_from_name\), EqualTo)', plan)
+    assert of_railways(src.movements, ["NOWHERE"]).count() == 0
+    assert of_railways(src.movements, ["AMERICA", "ASIA"]).count() == src.movements.filter(
+        "railway_from_name IN ('\"AMERICA\"', '\"ASIA\"')").count()
+
+
+def test_spellings_of_one_railway(spark, monkeypatch):
+    from conftest import movement
+    from revaudit.operators import movements
+    from conftest import make_sources
+    names = ['"R1"', "R1", 'R"1"', '"R2"', None, ""]
+    src = make_sources(spark, [movement(container=f"C{i}", railway=r) for i, r in enumerate(names)], [])
+
+    def got(railways):
+        return sorted(r[0] for r in movements.of_railways(src.movements, railways).select("container_number").collect())
+    for limit in (1000, 1):
+        monkeypatch.setattr(movements, "MAX_SPELLINGS", limit)
+        assert got(["R1"]) == got(['"R1"']) == ["C0", "C1", "C2"]
+        assert got([None, "R2"]) == ["C3", "C4"] and got([""]) == ["C5"] and got([None]) == ["C4"]
+
+
+def test_half_the_movements_on_one_pair_are_spread(spark):
+    """The invoice join gives no task much more than the others, without any skew handling at run time."""
+    from pyspark.sql import functions as F
+    from revaudit.operators.enrich import heavy_pairs, movements_with_invoices
+    from revaudit.operators.invoices import invoice_match
+    from revaudit.operators.movements import normalise_movements
+    src = testdata.load(spark, "/root/testdata/sf0.01")
+    mv = normalise_movements(src.movements)
+    invoices = invoice_match(src.ledger, mv, only_shipped=False)
+    first = invoices.first()
+    half = F.xxhash64("shipment_no", "container_no", "dispatch_ts") % 2 == 0
+    skewed = (mv.withColumn("container_no", F.when(half, F.lit(first["invoice_container_no"])).otherwise(F.col("container_no")))
+                .withColumn("shipment_no", F.when(half, F.lit(first["invoice_document_no"])).otherwise(F.col("shipment_no"))))
+    assert heavy_pairs(skewed) is None  # too few rows to need it
+    heavy = heavy_pairs(skewed, table_rows=0)
+    assert [tuple(r)[:2] for r in heavy.collect()] == [(first["invoice_container_no"], first["invoice_document_no"])]
+    settings = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = movements_with_invoices(skewed, invoices, heavy)
+        per = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        plain = sorted(r["count"] for r in movements_with_invoices(skewed, invoices).groupBy(F.spark_partition_id()).count().collect())
+        assert out.exceptAll(movements_with_invoices(skewed, invoices)).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sum(per) == sum(plain) == mv.count()
+    assert per[-1] <= 2 * per[len(per) // 2] < plain[-1]
