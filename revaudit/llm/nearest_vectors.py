@@ -12,6 +12,8 @@ in a second step, k entries for each query and group.
 The search is exact: bounds only discard what cannot be in the result.  The int8 products run as float32
 matrix products, which are exact for int8 up to 1,000 dimensions; longer vectors are cut into pieces of 1,000.
 
+Vectors whose squares leave the range of doubles have no bounds and are always recomputed; an inner product that overflows on the way is
+computed on scaled vectors, and is infinite only if its value is.
 Scores are sums in order of the dimensions, so equal vectors get equal scores; ties go to the smaller
 vec_id.  Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
 without vec_id.  Vectors of different lengths are compared within their length only.  Rows with equal vec_id are
@@ -36,6 +38,7 @@ TILE = 2048
 #: Candidates of one group; a group is one task's work for each query tile.
 GROUP = 16_384
 _PIECE = 1000
+_SMALL = 1e-140
 
 
 def usable(column: str) -> Column:
@@ -45,12 +48,18 @@ def usable(column: str) -> Column:
     return F.coalesce(fine & F.exists(c, lambda x: x != 0), F.lit(False))
 
 
-def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """int8 vectors (as float32), their scales, and the Euclidean norm of what rounding lost."""
-    scale = np.abs(x).max(axis=1) / 127.0
-    q = np.rint(x / scale[:, None])
-    lost = np.sqrt(((x - q * scale[:, None]) ** 2).sum(axis=1))
-    return q.astype(np.float32), scale, lost
+def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """int8 vectors (as float32), their scales, the Euclidean norm of what rounding lost, and their norms.
+
+    Vectors whose squares leave the range of doubles have no bound (infinite loss): they are always recomputed.
+    """
+    most = np.abs(x).max(axis=1)
+    fine = (most > _SMALL) & (most < 1 / _SMALL)
+    usable_x = np.where(fine[:, None], x, 0.0)
+    scale = np.where(fine, most, 1.0) / 127.0
+    q = np.rint(usable_x / scale[:, None])
+    lost = np.where(fine, np.sqrt(((usable_x - q * scale[:, None]) ** 2).sum(axis=1)), np.inf)
+    return q.astype(np.float32), scale, lost, np.where(fine, np.sqrt((usable_x * usable_x).sum(axis=1)), 1.0)
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -61,18 +70,28 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise inner products in double precision, added up in order of the dimensions."""
+    """Row-wise inner products in double precision, added up in order of the dimensions.
+
+    Where that overflows on the way, the vectors are scaled by their largest components first.
+    """
     total = np.zeros(len(a))
-    for k in range(a.shape[1]):
-        total += a[:, k] * b[:, k]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for k in range(a.shape[1]):
+            total += a[:, k] * b[:, k]
+        over = np.flatnonzero(~np.isfinite(total))
+        if len(over):
+            largest_a, largest_b = np.abs(a[over]).max(axis=1), np.abs(b[over]).max(axis=1)
+            part = np.zeros(len(over))
+            for k in range(a.shape[1]):
+                part += (a[over, k] / largest_a) * (b[over, k] / largest_b)
+            total[over] = part * largest_a * largest_b
     return total
 
 
 class Tile:
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
-        self.q, self.scale, self.lost = _quantised(x)
-        self.norm = np.sqrt((x * x).sum(axis=1))
+    def __init__(self, ids: np.ndarray, x: np.ndarray, prints: np.ndarray | None = None):
+        self.ids, self.x, self.prints = ids, x, prints
+        self.q, self.scale, self.lost, self.norm = _quantised(x)
 
 
 def search_tile(query: Tile, tile: Tile, heaps: list[list], k: int = K, step: int = 256) -> None:
@@ -84,7 +103,9 @@ def search_tile(query: Tile, tile: Tile, heaps: list[list], k: int = K, step: in
         rows = slice(r, min(r + step, len(query.ids)))
         about = _product(query.q[rows], tile.q) * query.scale[rows, None] * tile.scale[None, :]
         # |a.b - qa.qb| <= |ea||b| + |qa||eb| <= |ea||b| + (|a| + |ea|)|eb|
-        slack = query.lost[rows, None] * tile.norm[None, :] + (query.norm[rows, None] + query.lost[rows, None]) * tile.lost[None, :]
+        with np.errstate(invalid="ignore"):
+            slack = query.lost[rows, None] * tile.norm[None, :] + (query.norm[rows, None] + query.lost[rows, None]) * tile.lost[None, :]
+        slack[np.isnan(slack)] = np.inf
         slack += 1e-9 * (query.norm[rows, None] * tile.norm[None, :]) + 1e-300
         own = query.ids[rows, None] == tile.ids[None, :]
         low = np.where(own, -np.inf, about - slack)
@@ -108,14 +129,14 @@ def search_tile(query: Tile, tile: Tile, heaps: list[list], k: int = K, step: in
 
 
 def _tiles(rows: DataFrame, group: str) -> DataFrame:
-    """Rows (id, size, vector, group) -> tiles: group, size, ids, matrix as little-endian binaries."""
+    """Rows (id, print, size, vector, group) -> tiles: group, size, ids, prints, matrix as little-endian binaries."""
     def task(batches):
-        held: dict[tuple, tuple[list, list]] = {}
+        held: dict[tuple, tuple[list, list, list]] = {}
         for batch in batches:
-            groups, sizes, ids = (batch.column(c).to_pylist() for c in ("g", "size", "id"))
-            for g, size, i, v in zip(groups, sizes, ids, batch.column("vector").to_pylist()):
-                own = held.setdefault((g, size), ([], []))
-                own[0].append(i), own[1].append(np.array(v, "<f8").tobytes())
+            groups, sizes, ids, prints = (batch.column(c).to_pylist() for c in ("g", "size", "id", "print"))
+            for g, size, i, p, v in zip(groups, sizes, ids, prints, batch.column("vector").to_pylist()):
+                own = held.setdefault((g, size), ([], [], []))
+                own[0].append(i), own[1].append(np.array(v, "<f8").tobytes()), own[2].append(p)
                 if len(own[0]) == TILE:
                     yield emit({(g, size): held.pop((g, size))})
         if held:
@@ -125,11 +146,12 @@ def _tiles(rows: DataFrame, group: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             pa.array([k[0] for k in held], pa.int64()), pa.array([k[1] for k in held], pa.int32()),
             pa.array([np.array(v[0], "<i8").tobytes() for v in held.values()], pa.binary()),
-            pa.array([b"".join(v[1]) for v in held.values()], pa.binary())], names=["g", "size", "ids", "matrix"])
+            pa.array([np.array(v[2], "<i8").tobytes() for v in held.values()], pa.binary()),
+            pa.array([b"".join(v[1]) for v in held.values()], pa.binary())], names=["g", "size", "ids", "prints", "matrix"])
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.withColumn("g", F.col(group)).repartition(n, "g", "size").sortWithinPartitions("g", "size", "id")
-    return placed.select("g", "size", "id", "vector").mapInArrow(task, "g long, size int, ids binary, matrix binary")
+    return placed.select("g", "size", "id", "print", "vector").mapInArrow(task, "g long, size int, ids binary, prints binary, matrix binary")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP, id_column: str = "vec_id",
@@ -137,8 +159,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP
     """query_id, rank, vec_id, score: the k nearest of each query row among all other rows."""
     rows = stored(vectors.where(F.col(id_column).isNotNull() & usable(vector_column))
                   .select(F.col(id_column).cast("long").alias("id"), F.size(vector_column).alias("size"),
-                          F.transform(vector_column, lambda x: x.cast("double")).alias("vector"), is_query.alias("is_query")),
-                  "vectors")
+                          F.transform(vector_column, lambda x: x.cast("double")).alias("vector"), is_query.alias("is_query"))
+                  .withColumn("print", F.xxhash64("vector")), "vectors")
     n = rows.count()
     groups = max(1, -(-n // group), min(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TILE)))
     dealt = rows.withColumn("hashed", F.pmod(F.xxhash64("id", "vector"), F.lit(groups)))
@@ -148,7 +170,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP
     query_tiles = _tiles(queries.withColumn("tile", F.pmod(F.xxhash64("id", "vector"), F.lit(max(1, -(-n_queries // TILE))))), "tile")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     sent = query_tiles.drop("g").withColumn("g", every).withColumn("kind", F.lit(1))
-    columns = ["g", "size", "kind", "ids", "matrix"]
+    columns = ["g", "size", "kind", "ids", "prints", "matrix"]
 
     def task(batches):
         own, at = [], None
@@ -156,7 +178,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP
             g, size, kind = (batch.column(c).to_pylist() for c in ("g", "size", "kind"))
             for r in range(batch.num_rows):
                 ids = np.frombuffer(batch.column("ids")[r].as_py(), "<i8")
-                tile = Tile(ids, np.frombuffer(batch.column("matrix")[r].as_py(), "<f8").reshape(len(ids), size[r]))
+                tile = Tile(ids, np.frombuffer(batch.column("matrix")[r].as_py(), "<f8").reshape(len(ids), size[r]),
+                            np.frombuffer(batch.column("prints")[r].as_py(), "<i8"))
                 if (g[r], size[r]) != at:
                     own, at = [], (g[r], size[r])
                 if kind[r] == 0:
@@ -167,8 +190,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, group: int = GROUP
                     search_tile(tile, part, heaps, k)
                 found = [(int(q), x, s, -v) for x, (q, h) in enumerate(zip(ids, heaps)) for s, v in h]
                 if found:
-                    # Rows of one query id with different vectors stay apart by a print of the vector.
-                    prints = [int(np.frombuffer(tile.x[x].tobytes(), "<u8").sum(dtype=np.uint64).view(np.int64)) for _, x, _, _ in found]
+                    # Rows of one query id with different vectors stay apart by the vector's hash.
+                    prints = [int(tile.prints[x]) for _, x, _, _ in found]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([f[0] for f in found]), pa.array(prints), pa.array([f[3] for f in found]),
                         pa.array([f[2] for f in found])], names=["query_id", "print", "vec_id", "score"])
