@@ -11,8 +11,8 @@ the difference of two apportionments (``block_quotas``).
 
 A source's documents, in a seeded order, form one stream of words.  Its quota takes whole
 passes over the stream first; the rest are distinct blocks of one more pass, picked by a
-seeded affine permutation of the block numbers, and the last block is cut so that the
-source gets exactly its blocks' words, at most twice its size.  A document's share is what
+seeded affine permutation of the block numbers.  A last block, cut or added, brings the source to its target in words (so a source
+whose target is less than a block is served as well), at most twice its size.  A document's share is what
 those blocks cover of it (``taken``); ``copies`` counts the blocks, one for each pass, that hold its
 middle word, for mixing whole documents.
 
@@ -39,8 +39,9 @@ MOST = 2
 BLOCK_WORDS = 64
 SHARDS = 8
 SEED = 20261
-#: A prime beyond any number of blocks in a source: multiplying by it permutes block numbers.
-_PRIME = 2147483647
+#: Primes beyond the number of blocks in a source: multiplying by one permutes block numbers.  Products of the first
+#: and a block number fit a long; sources of as many blocks take the second, in wide decimals.
+_PRIME, _LARGE_PRIME = 2147483647, 1000000000000000003
 _BUCKET_ROWS = 2000
 
 
@@ -125,6 +126,22 @@ def block_quotas(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int
     return rows.withColumn("quota", F.col("quota") - F.coalesce(F.lag("quota").over(so_far), F.lit(0)))
 
 
+def near_target(blocks: Column, block_words: int = BLOCK_WORDS) -> Column:
+    """Words of a source with that many blocks: its target, at most one block from the quota's words."""
+    return F.least(F.greatest(F.round("target").cast("long"), (blocks - 1) * block_words, F.lit(0).cast("long")), (blocks + 1) * block_words)
+
+
+def permuted(b: Column, blocks: Column, shift: Column) -> Column:
+    """The number of block b of ``blocks`` in the seeded order: (prime * b + shift) mod blocks, without overflow."""
+    def wide(c: Column) -> Column:
+        return c.cast("decimal(38,0)")
+    small = F.pmod(F.pmod(F.lit(_PRIME), blocks) * b + F.pmod(shift, blocks), blocks)
+    factor = F.pmod(F.lit(_LARGE_PRIME).cast("long"), blocks).cast("decimal(19,0)")
+    product = (factor * b.cast("decimal(18,0)")).cast("decimal(38,0)")
+    large = ((product + wide(F.pmod(shift, blocks))) % wide(blocks)).cast("long")
+    return F.when(blocks < F.lit(_PRIME), small).otherwise(large)
+
+
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, source for each row of ``docs``."""
     sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
@@ -134,7 +151,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
     quotas = quotas.select(F.col("source").alias("q_source"), "blocks")
     size = F.col("source_size")
     plan = (targets.join(quotas, _same("source", "q_source"), "left")
-            .withColumn("words", F.least(F.coalesce("blocks", F.lit(0)) * block_words, size * MOST))
+            .withColumn("words", F.least(near_target(F.coalesce("blocks", F.lit(0)), block_words), size * MOST))
             .withColumn("passes", F.when(size > 0, F.floor(F.col("words") / size)).otherwise(0).cast("long"))
             .withColumn("rest", F.col("words") - F.col("passes") * size)
             .select(F.col("source").alias("p_source"), "source_size", "target", "passes", "rest",
@@ -163,7 +180,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
 
     def number(b: Column) -> Column:
         other = F.greatest(full, F.lit(1))
-        return F.when(b >= full, full).otherwise(F.pmod(F.pmod(F.lit(_PRIME), other) * b + F.pmod(shift, other), other))
+        return F.when(b >= full, full).otherwise(permuted(b, other, shift))
 
     def block_end(b: Column) -> Column:
         """End of the taken part of block b."""

@@ -261,3 +261,50 @@ def test_op13_held_out_accuracy(spark):
     held = got[got.held_out & got.doc_id.isin(truth)]
     right = (held.predicted == held.doc_id.map(truth)).mean()
     assert right >= 0.93
+
+
+# --- mended edges of the mix and the nearest vectors ----------------------------------
+
+def test_block_numbers_are_permuted_at_every_size(spark):
+    from revaudit.llm import mixing
+    from pyspark.sql import functions as F
+    for n in (1, 2, 7, 1000):
+        got = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long"))).collect()
+        assert sorted(r[0] for r in got) == list(range(n))
+    for n in (mixing._PRIME, 10 ** 11, 3 * mixing._PRIME, 2 ** 40):
+        ids = [0, 1, 2, n // 2, n - 2, n - 1]
+        rows = spark.createDataFrame([(i,) for i in ids], "id long")
+        got = [r[0] for r in rows.select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(12345).cast("long"))).collect()]
+        assert got == [(mixing._LARGE_PRIME % n * i + 12345) % n for i in ids] and len(set(got)) == len(ids)
+
+
+def test_mix_serves_sources_below_a_block(spark):
+    from revaudit.llm import mixing
+    docs = spark.createDataFrame([(1, "a b c d e f g", "s"), (2, "h i j k l m n", "s")], "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert sum(r.taken for r in got) == 21 and all(r.taken <= 2 * r.size for r in got) and {r.target for r in got} == {21.0}
+    tiny = docs.unionAll(spark.createDataFrame([(3 + i, "word " * 500, "big") for i in range(20)], docs.schema))
+    taken = {}
+    for r in mixing.mix(tiny).collect():
+        key = r.source
+        taken[key] = (taken.get(key, (0, 0))[0] + r.taken, r.target)
+    assert all(abs(t - target) <= 1 for t, target in taken.values())
+
+
+def test_nearest_of_extreme_and_permuted_vectors(spark):
+    from revaudit.llm import nearest_vectors
+    from pyspark.sql import functions as F
+
+    def run(rows, k=20):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = nearest_vectors.nearest(df, F.col("vec_id") % 20 == 0, k).collect()
+        out = {}
+        for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+            out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        return out
+    got = run([(0, [1.0, 1.0]), (1, [1e200, 0.0]), (2, [2.0, 0.0]), (3, [5e-324, 0.0]), (20, [1e200, 0.0]), (40, [1e200, -1e200]), (5, [1e200, 1e200])])
+    assert got[0] == [(5, 2e200), (1, 1e200), (20, 1e200), (2, 2.0), (3, 5e-324), (40, 0.0)]
+    assert [v for v, _ in got[20]] == [1, 5, 40, 2, 0, 3] and got[20][0][1] == float("inf")
+    assert dict(got[40])[5] == 0.0 and dict(got[40])[20] == float("inf")
+    both = run([(0, [1.0, 2.0, 3.0]), (0, [3.0, 2.0, 1.0])] + [(i, [float(i), 0.0, 1.0]) for i in range(1, 20)])
+    assert len(both[0]) == 2 * 19
