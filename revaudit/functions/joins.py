@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension is broadcast only if its rows hold at most this many bytes (measured,
-# not estimated).  Beyond it the lookup is a shuffle join, which AQE may still turn
-# into a broadcast from the real shuffle size.
+# The dimensions of a plan are broadcast only as far as their rows together hold at most
+# this many bytes (measured, not estimated).  The others' lookups are shuffle joins, which
+# AQE may still turn into a broadcast from the real shuffle size.
 DEFAULT_BROADCAST_BYTES = 64 << 20
 _ROW_BYTES = 32  # of one row's own overhead and fixed-width columns' upper bound, each
 
@@ -31,6 +31,15 @@ def measured_bytes(tables: dict[str, DataFrame]) -> dict[str, int]:
     return {r["name"]: r["bytes"] for r in reduce(DataFrame.unionByName, sums).collect()}
 
 
+def fitting(sizes: dict[str, int], max_bytes: int) -> dict[str, bool]:
+    """Which tables may be broadcast, smallest first, so that all of them together hold at most ``max_bytes``."""
+    fits, held = {}, 0
+    for name, n in sorted(sizes.items(), key=lambda item: item[1]):
+        fits[name] = held + n <= max_bytes
+        held += n if fits[name] else 0
+    return fits
+
+
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            columns: dict[str, str], max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
            broadcast: bool | None = None) -> DataFrame:

@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
-from ..functions.joins import DEFAULT_BROADCAST_BYTES, lookup, measured_bytes
+from ..functions.joins import DEFAULT_BROADCAST_BYTES, fitting, lookup, measured_bytes
+from ..functions.key_filter import KeyFilter
 from ..functions.money import from_units, money_scale, to_units, unit_sum
 from ..schemas import EVENT_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES
 from ..sources.tables import Sources
 from .movements import containers
 
+#: How often each dimension is looked up.
+_ROLES = {"counterparty": 1, "service": 1, "location": 2, "stations": 2}
+
 _ID_KEYS = ("order_id", "container_no", "client_id", "service_id",
             "from_point_id", "to_point_id", "from_station_id", "to_station_id")
 
 
 def billing_events(sources: Sources, movements_n: DataFrame, only_moved: bool = True,
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, moved: KeyFilter | None = None) -> DataFrame:
     """Events of the four invoice codes for movement containers.
 
     Grouped by (order, container, client, service, points from/to, stations
@@ -29,9 +33,11 @@ def billing_events(sources: Sources, movements_n: DataFrame, only_moved: bool =
     merges ids that share a name.  Sums and minima compose, so this equals
     grouping the looked-up raw lines by names (including the effect of a repeated
     dimension key).  Both groupings have the order in their key, so a hot
-    container is spread over all tasks.  The container test comes last, as a
-    semi-join whose skewed partitions AQE may split; ``only_moved=False`` leaves it
-    out for callers that join the events to the movements anyway.
+    container is spread over all tasks.  ``moved``, a filter of the moved containers
+    (``functions.key_filter``), drops most lines of other containers before the first shuffle; the exact
+    container test comes last, as a semi-join whose skewed partitions AQE may split.
+    ``only_moved=False`` leaves the test out for callers that join the events to the movements anyway.
+    The dimensions that are broadcast hold at most ``max_broadcast_bytes`` together, counted once for each role.
     """
     rub_scale = money_scale(sources.ledger, "amount_in_rub_without_vat")
     cur_scale = money_scale(sources.ledger, "amount_in_contract_currency_without_vat")
@@ -49,13 +55,15 @@ def billing_events(sources: Sources, movements_n: DataFrame, only_moved: bool =
                      "date_end",
                      to_units("amount_in_rub_without_vat", rub_scale).alias("rub"),
                      to_units("amount_in_contract_currency_without_vat", cur_scale).alias("cur")))
+    if moved is not None:
+        lines = moved(lines, "container_no")
     by_ids = (lines.groupBy(*_ID_KEYS)
               .agg(F.min("date_end").alias("date_e"), unit_sum("rub", rub_scale).alias("rub"),
                    unit_sum("cur", cur_scale).alias("cur")))
     size = sources.dim_bytes or measured_bytes(
         {"counterparty": sources.dict_counterparty, "service": sources.dict_service,
          "location": sources.dict_location, "stations": sources.dict_stations})
-    small = {name: n <= max_broadcast_bytes for name, n in size.items()}
+    small = fitting({name: n * _ROLES[name] for name, n in size.items()}, max_broadcast_bytes)
     named = lookup(by_ids, sources.dict_counterparty, "client_id", "id", {"name": "client_name"},
                    broadcast=small["counterparty"])
     named = lookup(named, sources.dict_service, "service_id", "id", {"name": "service_name"},

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
+from ..functions.key_filter import KeyFilter
 from ..functions.money import from_units, money_scale, to_units, unit_sum
 from ..schemas import (DOCUMENT_CODE, INVOICE_AMOUNT_COLUMNS, INVOICE_CODES, INVOICE_FILTER_CODES,
                        cur_column, rub_column)
@@ -41,9 +42,12 @@ def ledger_lines(ledger: DataFrame, codes: tuple[str, ...]) -> DataFrame:
                     to_units(CUR, money_scale(ledger, CUR)).alias("cur")))
 
 
-def _ledger_groups(ledger: DataFrame, movements_n: DataFrame, keep_blank_documents: bool) -> DataFrame:
+def _ledger_groups(ledger: DataFrame, movements_n: DataFrame, keep_blank_documents: bool,
+                   moved: KeyFilter | None = None) -> DataFrame:
     """Level one in minor units (``rub_sum``, ``cur_sum`` are longs)."""
     lines = ledger_lines(ledger, INVOICE_FILTER_CODES)
+    if moved is not None:
+        lines = moved(lines, "container_no")
     if not keep_blank_documents:
         lines = lines.filter(F.col("document_no") != "")
     grouped = (lines.groupBy("document_no", "order_id", "container_no", "esu_id")
@@ -62,14 +66,15 @@ def _as_money(df: DataFrame, ledger: DataFrame, pairs: list[tuple[str, str]]) ->
 
 
 def ledger_by_document(ledger: DataFrame, movements_n: DataFrame,
-                       keep_blank_documents: bool = False) -> DataFrame:
+                       keep_blank_documents: bool = False, moved: KeyFilter | None = None) -> DataFrame:
     """Ledger grouped by (document, order, container, service) for movement containers.
 
     ``date_e`` is the earliest ``date_end``; groups whose two sums are both zero
-    (or NULL) are dropped.  The container filter is applied after the map-side
-    combined aggregation: it depends on a group key only, so the result is the same.
+    (or NULL) are dropped.  ``moved``, a filter of the moved containers (``functions.key_filter``), drops most lines of
+    other containers before the shuffle; the exact container test comes after the map-side combined aggregation: it
+    depends on a group key only, so the result is the same.
     """
-    grouped = _ledger_groups(ledger, movements_n, keep_blank_documents)
+    grouped = _ledger_groups(ledger, movements_n, keep_blank_documents, moved)
     return _as_money(grouped, ledger, [("rub_sum", RUB), ("cur_sum", CUR)])
 
 

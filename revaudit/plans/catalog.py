@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import decimals_to_double, strip_quotes
+from ..functions.key_filter import key_filter
 from ..operators.billing import billing_events
 from ..operators.content import merged_fingerprint, movement_states
 from ..operators.enrich import (enriched_with_defaults, heavy_pairs, movements_with_invoices, presentation_names,
@@ -112,12 +113,14 @@ def q_railway_list(spark, sf_dir):
 
 def q_ledger_by_document(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return decimals_to_double(ledger_by_document(src.ledger, normalise_movements(src.movements)))
+    mv = normalise_movements(src.movements)
+    return decimals_to_double(ledger_by_document(src.ledger, mv, moved=key_filter(mv, "container_no")))
 
 
 def q_document_fallback(spark, sf_dir):
     src = _src(spark, sf_dir)
-    grouped = ledger_by_document(src.ledger, normalise_movements(src.movements), keep_blank_documents=True)
+    mv = normalise_movements(src.movements)
+    grouped = ledger_by_document(src.ledger, mv, keep_blank_documents=True, moved=key_filter(mv, "container_no"))
     return decimals_to_double(with_document_fallback(grouped))
 
 
@@ -139,7 +142,8 @@ def q_invoice_match_fallback(spark, sf_dir):
 
 def q_billing_events(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return decimals_to_double(billing_events(src, normalise_movements(src.movements)))
+    mv = normalise_movements(src.movements)
+    return decimals_to_double(billing_events(src, mv, moved=key_filter(mv, "container_no")))
 
 
 #: Chunks of the queries that show the split path: many more than the tables need, so that most containers are split.

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 # Settings every revaudit job relies on.  AQE re-plans joins from real shuffle sizes,
 # splits skewed join partitions and coalesces small shuffle partitions.  Broadcasts
-# come only from explicit hints behind a row-count check or from AQE's runtime
+# come only from explicit hints behind a check of measured bytes or from AQE's runtime
 # conversion, which measures the materialised side; the plan-time estimate (a
 # fraction of the Parquet file size) is not trusted: it let a 600k-row distinct
 # side through as "small".
