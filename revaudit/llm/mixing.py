@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import read, stored
+from .tables import read, stored, unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -205,10 +205,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix in whole documents: each row of ``docs`` as often as its ``copies``, columns as given."""
     plan = mix(docs).where("copies > 0").groupBy("doc_id", "t").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    plan = plan.select(F.col("doc_id").alias("m_doc"), F.col("t").alias("m_t"), F.ceil(F.col("copies") / F.col("rows")).alias("m_n"))
-    names = [F.col(c) for c in docs.columns]
-    return (docs.join(plan, _same("doc_id", "m_doc") & (F.xxhash64("text") == F.col("m_t")))
-            .withColumn("m_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_n")))).select(*names))
+    doc, t, n, i = (unused(docs.columns, name) for name in ("m_doc", "m_t", "m_n", "m_i"))
+    plan = plan.select(F.col("doc_id").alias(doc), F.col("t").alias(t), F.ceil(F.col("copies") / F.col("rows")).alias(n))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return (docs.join(plan, _same("doc_id", doc) & (F.xxhash64("text") == F.col(t)))
+            .withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*names))
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

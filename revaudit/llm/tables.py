@@ -27,6 +27,14 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to differ from all ``columns`` (whatever their case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column over all rows."""
     return int(docs.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0])
