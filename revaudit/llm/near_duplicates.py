@@ -12,7 +12,7 @@ agrees in none with probability 5e-6) and in at least ``LEAST_EQUAL`` of the 128
 deviations below 0.75).  Links are confirmed on the full shingle sets of the whole texts.
 
 Copies and groups.  Documents with one shingle set are a class, found by its 128-bit fingerprint and
-represented by its smallest doc_id.  In a bucket, every class is first compared with
+represented by its smallest doc_id; classes that hold many rows get back to them by a bounded broadcast list (``class_values``).  In a bucket, every class is first compared with
 the bucket's smallest one; the confirmed links give components.  Then only buckets that still hold
 several components are compared further, and only between components.  Those of at most ``CROWD`` classes give
 pairs.  Larger ones are joined into families (classes connected by such buckets); a family's texts are
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import components
-from .tables import read, stored
+from .tables import read, stored, unused
 
 SHINGLE = 5
 COORDINATES = 128
@@ -44,6 +44,8 @@ BANDS = COORDINATES // ROWS
 LEAST_EQUAL = 70
 PERCENT = 75
 CROWD = 256
+#: A class is hot if it holds more than this fraction of a shuffle partition's share of the rows (4: a quarter).
+HOT_SHARE = 4
 TILE_BYTES = 4 << 20
 
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, bands array<long>"
@@ -151,16 +153,18 @@ def near_in_sketch(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) with 100 |A and B| >= 75 |A or B| on full shingle sets; ``texts``: id, text.
 
-    Pairs of one ``a`` lie together, so its set is made once for each slice of pairs.
+    Pairs of one ``a`` and text lie together, so its set is made once for each slice of pairs.  Rows that share an id give several texts.
     """
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"), F.xxhash64("text").alias("ha"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def task(batches):
         for batch in batches:
             for part in tx.slices(batch, "tb", tx.SLICE_BYTES // 2):
-                a = part.column("a").to_numpy()
-                kinds, first, of = np.unique(a, return_index=True, return_inverse=True)
+                a, ha = part.column("a").to_numpy(), part.column("ha").to_numpy()
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (ha[1:] != ha[:-1])
+                first, of = np.flatnonzero(new), np.cumsum(new) - 1
                 va, at_a = shingle_sets(part.column("ta").take(pa.array(first)))
                 vb, at_b = shingle_sets(part.column("tb"))
                 # Pair number and shingle in one list: what occurs twice is shared.
@@ -174,8 +178,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 union = np.diff(at_a)[of] + np.diff(at_b) - shared
                 link = (shared > 0) & (100 * shared >= PERCENT * union)
                 yield part.select(["a", "b"]).filter(pa.array(link))
-    return (pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-            .sortWithinPartitions("a").mapInArrow(task, "a long, b long"))
+    return (pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "ta", "tb")
+            .sortWithinPartitions("a", "ha").mapInArrow(task, "a long, b long"))
 
 
 def cross_pairs(members: DataFrame) -> DataFrame:
@@ -268,14 +272,28 @@ def family_links(texts: DataFrame, tile_bytes: int = TILE_BYTES) -> DataFrame:
     return rows.groupBy("family", "i", "j").applyInArrow(links, "a long, b long")
 
 
+def class_values(rows: DataFrame, classes: DataFrame, value: str, hot_rows: int) -> DataFrame:
+    """``rows`` (with f1, f2) and the ``value`` of their class (``classes``: f1, f2, n and the value); NULL without a class.
+
+    Classes of more than ``hot_rows`` rows are at most all rows / ``hot_rows``, i.e. HOT_SHARE for each shuffle partition: that
+    list is broadcast, so their rows stay where they are.  The others' rows meet their class by a shuffle.
+    """
+    hot = classes.where(F.col("n") > hot_rows).select("f1", "f2", value)
+    cold = classes.where(F.col("n") <= hot_rows).select("f1", "f2", value)
+    inside = rows.join(F.broadcast(hot), ["f1", "f2"])
+    outside = rows.join(F.broadcast(hot.select("f1", "f2")), ["f1", "f2"], "left_anti").join(cold, ["f1", "f2"], "left")
+    return inside.unionByName(outside)
+
+
 def near_duplicates(docs: DataFrame, crowd: int = CROWD, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     rows = stored(sketch_table(docs), "sketches")
     linkable = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    # A class's sketch and bands are those of any member.
-    classes = linkable.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"))
-    heads = linkable.join(classes.withColumnRenamed("id", "head"), ["f1", "f2"]).where("doc_id = head")
-    heads = heads.select(F.col("doc_id").alias("id"), "sketch", "bands").dropDuplicates(["id", "sketch"])
+    # A class's sketch and bands are those of any member, so they are aggregated with its id, map-side first.
+    classes = stored(linkable.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("sketch").alias("sketch"),
+                                                      F.first("bands").alias("bands")), "classes")
+    heads = classes.select("id", "sketch", "bands")
+    hot_rows = max(1, rows.count() // (HOT_SHARE * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     banded = heads.select("id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(banded.join(shared.select("key", "hub"), "key"), "buckets")
@@ -302,23 +320,26 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD, tile_bytes: int = TILE_
     inside = rest.select("id", "component").distinct().join(families, "id").join(texts, "id")
     more = stored(confirmed(pairs, texts).unionAll(family_links(inside, tile_bytes)), "cross-links")
     # Rows that share a doc_id may lie in several classes.
-    alias = linkable.join(classes, ["f1", "f2"]).where("doc_id <> id")
-    several = linkable.select("doc_id", "f1", "f2").distinct().groupBy("doc_id").count().where("count > 1")
-    alias = alias.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    own = linkable.select("doc_id", "f1", "f2").distinct()
+    several = own.groupBy("doc_id").count().where("count > 1")
+    alias = class_values(own.join(several, "doc_id", "left_semi"), classes, "id", hot_rows)
+    alias = alias.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     second = components(links.unionAll(more).unionAll(alias))
 
-    whole = (rows.join(classes, ["f1", "f2"], "left").withColumn("id", F.when(F.col("n_shingles") > 0, F.col("id")))
-             .join(second.withColumnRenamed("node", "id"), "id", "left"))
-    links_with_others = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(links_with_others, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
-    return (whole.select("doc_id", "n_shingles", component.alias("component_id"))
+    # The component goes to the classes first, one row each, and from there to the rows.
+    named = classes.select("f1", "f2", "id", "n").join(second.withColumnRenamed("node", "id"), "id", "left")
+    named = stored(named.withColumn("component", F.coalesce("component", "id")), "class-components")
+    alone = rows.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    whole = class_values(linkable.select("doc_id", "n_shingles", "f1", "f2"), named, "component", hot_rows)
+    return (whole.select("doc_id", "n_shingles", F.col("component").alias("component_id")).unionAll(alone)
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with their columns."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    name = unused(docs.columns, "gone_id")
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
