@@ -141,6 +141,12 @@ def q_invoice_match_fallback(spark, sf_dir):
 
 
 def q_billing_events(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return decimals_to_double(billing_events(src, normalise_movements(src.movements)))
+
+
+def q_billing_events_filtered(spark, sf_dir):
+    """The same; lines of containers that never moved are dropped before the first shuffle."""
     src = _src(spark, sf_dir)
     mv = normalise_movements(src.movements)
     return decimals_to_double(billing_events(src, mv, moved=key_filter(mv, "container_no")))
@@ -323,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "invoice_match_two_level": q_invoice_match_two_level,
     "invoice_match_fallback": q_invoice_match_fallback,
     "billing_events": q_billing_events,
+    "billing_events_filtered": q_billing_events_filtered,
     "nearest_billing": _nearest("scan"),
     "nearest_billing_window": _nearest("window"),
     # Most containers split over several chunks: carries over the edges, end to end.
