@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import any_nonzero, upper_utf8
+from ..functions.columns import any_nonzero
 from ..functions.joins import DEFAULT_BROADCAST_BYTES, fitting, lookup, measured_bytes
 from ..functions.key_filter import KeyFilter
 from ..functions.money import from_units, money_scale, to_units, unit_sum
 from ..schemas import EVENT_COLUMNS, EVENT_NAME_COLUMNS, INVOICE_CODES
 from ..sources.tables import Sources
+from .invoices import ledger_container
 from .movements import containers
 
 #: How often each dimension is looked up.
@@ -45,7 +46,7 @@ def billing_events(sources: Sources, movements_n: DataFrame, only_moved: bool =
     lines = (sources.ledger
              .filter(F.col("esu_id").isin(*INVOICE_CODES))
              .select(F.col("service_details_order_id").alias("order_id"),
-                     upper_utf8("service_details_container_number").alias("container_no"),
+                     ledger_container(sources.ledger).alias("container_no"),
                      F.col("client_number_id").alias("client_id"),
                      F.col("esu_id").alias("service_id"),
                      F.col("service_details_points_from_catalog_id").alias("from_point_id"),

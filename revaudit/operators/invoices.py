@@ -14,7 +14,7 @@ audited job's behaviour):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_nonzero, upper_utf8
@@ -28,6 +28,11 @@ RUB = "amount_in_rub_without_vat"
 CUR = "amount_in_contract_currency_without_vat"
 
 
+def ledger_container(ledger: DataFrame) -> Column:
+    """The upper-cased container; a stored ledger (``plans.buckets``) has it already, as ``container_no``."""
+    return F.col("container_no") if "container_no" in ledger.columns else upper_utf8("service_details_container_number")
+
+
 def ledger_lines(ledger: DataFrame, codes: tuple[str, ...]) -> DataFrame:
     """Ledger rows of the given service codes, with the container upper-cased and
     the amounts as long minor units (``rub``, ``cur``; see ``functions.money``)."""
@@ -35,7 +40,7 @@ def ledger_lines(ledger: DataFrame, codes: tuple[str, ...]) -> DataFrame:
             .filter(F.col("esu_id").isin(*codes))
             .select(F.col("document_reasons_number").alias("document_no"),
                     F.col("service_details_order_id").alias("order_id"),
-                    upper_utf8("service_details_container_number").alias("container_no"),
+                    ledger_container(ledger).alias("container_no"),
                     "esu_id",
                     F.col("date_end"),
                     to_units(RUB, money_scale(ledger, RUB)).alias("rub"),

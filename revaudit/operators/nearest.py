@@ -175,7 +175,7 @@ def _rows(ev: DataFrame, probes: DataFrame, *more: str) -> DataFrame:
                                        F.lit(1).alias("kind"), "m", *more)))
 
 
-def _prefix(rows: DataFrame, *keys: str) -> DataFrame:
+def _prefix(rows: DataFrame, *keys: str, container: str = "container_no") -> DataFrame:
     """Running max / min of ``ev`` per key; equal times are RANGE peers, so an
     event at the dispatch time counts on both sides.
 
@@ -186,14 +186,16 @@ def _prefix(rows: DataFrame, *keys: str) -> DataFrame:
     up = Window.partitionBy(*keys).orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     down = (Window.partitionBy(*keys).orderBy(F.col("t").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.select("container_no", F.col("t").alias("dispatch_ts"), "kind", "m",
+    return (rows.select(F.col(container).alias("container_no"), F.col("t").alias("dispatch_ts"), "kind", "m",
                         F.max("ev").over(up).alias("b"),
                         F.when(F.col("t").isNotNull(), F.min("ev").over(down)).alias("a"))
             .filter(F.col("kind") == 1).drop("kind"))
 
 
 def _window(ev: DataFrame, keys: DataFrame) -> DataFrame:
-    return _prefix(_rows(ev, _probes(keys)), "container_no")
+    # Under a name of its own on both sides of the union, the container's partitioning (of stored buckets) outlives the union.
+    rows = _rows(ev, _probes(keys)).withColumnRenamed("container_no", "same_container")
+    return _prefix(rows, "same_container", container="same_container")
 
 
 def _scan(ev: DataFrame, keys: DataFrame, splits: Splits) -> DataFrame:

@@ -39,6 +39,12 @@ def build_enriched(sources: Sources, railway: str | None = None, nearest_method:
     the range shuffle (its sampling pass reads the movement scan, not the joins).
     """
     movements_n = normalise_movements(sources.movements, railway, normalise_container)
+    return enrich_movements(movements_n, sources, nearest_method, invoice_method, keep_blank_documents, chunks, number)
+
+
+def enrich_movements(movements_n: DataFrame, sources: Sources, nearest_method: str = "scan", invoice_method: str = "one_level",
+                     keep_blank_documents: bool = False, chunks: int | None = None, number: bool = False) -> DataFrame:
+    """``build_enriched`` of movements that are normalised already; of ``sources`` only the ledger and the dimensions are read."""
     # The left joins below ignore invoices and events of other containers, so neither
     # side is tested against the movements first.
     invoices = invoice_match(sources.ledger, movements_n, keep_blank_documents, invoice_method, only_shipped=False)

@@ -29,6 +29,7 @@ from ..operators.movements import normalise_movements, railway_list
 from ..operators.nearest import nearest_after, nearest_before, nearest_billing, split_points
 from ..session import work_path
 from ..sources import testdata
+from .buckets import build_from_buckets, open_buckets, store_buckets
 from .build import build_enriched
 from .commits import commit_history
 from .file_states import folder_fingerprint
@@ -203,6 +204,17 @@ def q_enriched_presentation(spark, sf_dir):
     return decimals_to_double(presentation_names(build_enriched(_src(spark, sf_dir))))
 
 
+def q_enriched_from_buckets(spark, sf_dir):
+    """From the fact tables stored by container, once per input snapshot and code."""
+    src = _src(spark, sf_dir)
+    root = work_path(spark, "stored", f"{testdata.signature(spark, sf_dir)}-{_code_print()}")
+    stored = open_buckets(spark, root)
+    if stored is None:
+        store_buckets(spark, src, root)
+        stored = open_buckets(spark, root)
+    return decimals_to_double(build_from_buckets(stored, src))
+
+
 def _run_folder(spark: SparkSession, kind: str) -> str:
     import uuid
     return work_path(spark, "runs", f"{kind}-{uuid.uuid4().hex[:12]}")
@@ -341,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "invoices_of_heavy_pair": q_invoices_of_heavy_pair,
     "enriched_movements": q_enriched_movements,
     "enriched_skew_path": q_enriched_skew_path,
+    "enriched_from_buckets": q_enriched_from_buckets,
     "enriched_with_defaults": q_enriched_with_defaults,
     "enriched_presentation": q_enriched_presentation,
     "sliced_build": q_sliced_build,
