@@ -23,7 +23,9 @@ texts that are alike but not linked.
 
 Nulls: null and empty texts have no shingles and link with nothing.  A null doc_id links with nothing (component
 null, kept).  Rows with equal doc_ids are one node: links of any of them count.  Identical rows are one class.
-An empty table gives no rows.  ``keep_first`` keeps the input's columns whatever their names.
+An empty table gives no rows.  ``keep_first`` keeps the input's columns whatever their names; of rows that repeat both id and
+text one stays, and so of rows without an id that repeat a text with words.  Rows without an id are compared by their whole texts, and
+only with each other.
 """
 
 from __future__ import annotations
@@ -335,11 +337,28 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD, tile_bytes: int = TILE_
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def one_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each combination of ``keys``, combined map-side: the least as JSON, so that reruns agree."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in keys]
+    least = F.min_by(whole, F.to_json(F.struct(*rest)) if rest else F.lit(""))
+    first = rows.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(least.alias("first"))
+    return first.select("first.*")
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with their columns."""
-    name = unused(docs.columns, "gone_id")
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti")
+    name = unused(docs.columns, "odd_id")
+    per_id = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = stored(per_id.where("NOT kept OR n > 1").select(F.col("doc_id").alias(name), "kept"), "odd-ids")
+    same, named = F.col("doc_id") == F.col(name), docs.where("doc_id IS NOT NULL")
+    out = named.join(odd.select(name).hint("merge"), same, "left_anti")
+    repeated = odd.where("kept").select(name)
+    if not repeated.isEmpty():
+        out = out.unionAll(one_of_each(named.join(repeated, same, "left_semi"), "doc_id", "text"))
+    nameless = docs.where("doc_id IS NULL")
+    has_words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    return out.unionAll(one_of_each(nameless.where(has_words), "text")).unionAll(nameless.where(~has_words))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

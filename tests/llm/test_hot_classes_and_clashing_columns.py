@@ -73,3 +73,28 @@ def test_stages_keep_columns_with_the_operators_own_names(spark):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
     assert {tuple(r) for r in mixed.collect()} <= set(listed) and mixed.count() > 0
+
+
+def test_one_row_stays_of_repeated_rows_and_of_rows_without_an_id(spark):
+    a, b, c = ("a b c d e f g h", "k l m n o p q r", "s t u v w x y z")
+    listed = [(1, a, "s"), (1, a, "s"), (1, a, "r"),           # repeated: one stays, the least as JSON
+              (2, b, "s"), (2, c, "s"), (2, c, "s"),           # two texts under one id: both stay, once
+              (3, a, "s"), (3, a, "s"),                        # copies of 1: all go
+              (4, "", "s"), (4, "", "s"), (5, None, "s"), (5, None, "s"), (6, " ", "s"),
+              (None, b, "s"), (None, b, "s"), (None, b, None), (None, c, "q"),
+              (None, "", "s"), (None, "", "s"), (None, None, "s"), (None, None, "s"), (7, "alone", None)]
+    docs = spark.createDataFrame(listed, "doc_id long, text string, source string").repartition(5)
+    want = [(1, a, "r"), (2, b, "s"), (2, c, "s"), (4, "", "s"), (5, None, "s"), (6, " ", "s"), (None, b, "s"), (None, c, "q"),
+            (None, "", "s"), (None, "", "s"), (None, None, "s"), (None, None, "s"), (7, "alone", None)]
+    kept = near_duplicates.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("columns", ["doc_id long, text string", "doc_id long, text string, k0 string, first map<string, int>"])
+def test_keep_first_of_a_hot_id_and_of_an_empty_table(spark, columns):
+    more = ("x", {"a": 1}) if "map" in columns else ()
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(1, text, *more)] * 50 + [(None, text, *more)] * 50 + [(k, f"{k} {k}", *more) for k in range(2, 5)], columns)
+    assert sorted(r.doc_id or 0 for r in near_duplicates.keep_first(docs).collect()) == [0, 1, 2, 3, 4]
+    assert near_duplicates.keep_first(docs.limit(0)).collect() == []
