@@ -156,3 +156,39 @@ def test_half_the_movements_on_one_pair_are_spread(spark):
             spark.conf.set(k, v)
     assert sum(per) == sum(plain) == mv.count()
     assert per[-1] <= 2 * per[len(per) // 2] < plain[-1]
+
+
+def test_movements_and_lines_are_exchanged_once(spark):
+    """By container; grouping, pair window and time window work where the rows then lie."""
+    plan = build_enriched(testdata.load(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 3
+    assert len(re.findall(r"(?<!Broadcast)Exchange", plan)) == 3
+
+
+def test_lines_are_grouped_by_names_only(spark):
+    from revaudit.operators.billing import billing_events
+    from revaudit.operators.movements import normalise_movements
+    src = testdata.load(spark, SF)
+    mv = normalise_movements(src.movements)
+    events = billing_events(src, mv, only_moved=False)
+    assert len(re.findall(r"(?<!Broadcast)Exchange", events._jdf.queryExecution().executedPlan().toString())) == 1
+    shuffled = billing_events(src, mv, only_moved=False, max_broadcast_bytes=0)
+    assert shuffled.count() == events.count() and shuffled.exceptAll(events).count() == 0
+
+
+def test_large_containers_are_built_apart(spark, monkeypatch):
+    from conftest import line, make_sources, movement, rows
+
+    from revaudit.operators import nearest
+    moves = [movement(f"C{i % 9 if i % 2 else 0}", f"2020-01-{1 + i % 28:02d} 00:00:00", f"S{i % 5}") for i in range(120)]
+    moves += [movement(None), movement("C1", None), movement("C1", shipment=None), moves[0], moves[0]]
+    lines = [line(f"c{i % 9 if i % 3 else 0}", f"S{i % 5}", when=f"2020-01-{1 + i % 28:02d} 00:00:00", order=i // 2, client=i % 4) for i in range(120)]
+    src = make_sources(spark, moves, lines + [line(None), lines[0]], counterparty=[(1, "x"), (2, None), (2, "y"), (3, "")])
+    want = rows(build_enriched(src, nearest_method="join"))
+    assert rows(build_enriched(src)) == want and len(want) == 125
+    monkeypatch.setattr(nearest, "CHUNK_ROWS", 10)
+    large = build_enriched(src)
+    assert rows(large) == want == rows(build_enriched(src, chunks=30, rest_whole=True))
+    assert "shufflepartitionidpassthrough" in large._jdf.queryExecution().executedPlan().toString()
+    numbered = build_enriched(src, number=True)
+    assert sorted(r["rownumber"] for r in numbered.collect()) == list(range(1, 126)) and rows(numbered.drop("rownumber")) == want
